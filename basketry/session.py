@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.errors import PipelineError
 from basketry.sources.storage import delete_on_exit
@@ -57,3 +58,12 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)
+
+
+def small_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast only after checking that ``df`` has no more than ``rows`` rows.
+
+    A larger frame is left as it is and joins through a shuffle. ``df`` is counted, so it
+    should be cheap to read: a written table or a short aggregate.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

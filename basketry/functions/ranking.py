@@ -12,17 +12,17 @@ GROUP_LIMIT = 1_000_000
 
 
 def split_hot(rows: DataFrame, group: list[str], sizes: DataFrame, limit: int):
-    """(rows of ordinary groups, rows of hot groups or None, keys of the hot groups or None).
+    """(rows of ordinary groups, rows of hot groups or None).
 
     ``sizes`` holds one row per group with its count ``n`` (or an upper bound of it). At
     most ``total / limit`` groups can be hot, which bounds what is broadcast.
     """
     hot = sizes.where(F.col("n") > limit).select(*group)
     if hot.isEmpty():
-        return rows, None, None
+        return rows, None
     hot = materialize(hot, "hot-groups")
     keys = F.broadcast(hot)
-    return rows.join(keys, group, "left_anti"), rows.join(keys, group, "left_semi"), hot
+    return rows.join(keys, group, "left_anti"), rows.join(keys, group, "left_semi")
 
 
 def rank_in_pieces(rows: DataFrame, group: list[str], levels: list[str], name: str) -> DataFrame:

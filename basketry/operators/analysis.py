@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import labels
 from basketry.functions.exact import half_up, percent, ratio, units
-from basketry.operators.kpis import EVERYTHING
+from basketry.operators.kpis import everything
 from basketry.operators.measures import (
     catalogued, order_reach, order_totals, product_sales, roll_up, sales_by, with_time,
 )
@@ -93,7 +93,7 @@ def department_performance(wh) -> DataFrame:
 
 
 def _pct_of_all(column):
-    return percent(F.col(column), F.sum(column).over(EVERYTHING))
+    return percent(F.col(column), F.sum(column).over(everything()))
 
 
 def customer_segmentation(wh) -> DataFrame:

@@ -6,6 +6,7 @@ violated rule is the one reported.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,10 +178,12 @@ def rule_violations(df: DataFrame, dataset: str, rules) -> DataFrame:
         if rule.kind == "not_empty" else F.count_if(rule.violation(df))
         for place, rule in row_rules
     }
-    totals = df.agg(*[count.alias(f"v{place}") for place, count in counts.items()])
-    report = totals.select(
-        F.inline(F.array(*[line(place, rule, F.col(f"v{place}")) for place, rule in row_rules]))
-    )
+    reports = []
+    if counts:
+        totals = df.agg(*[count.alias(f"v{place}") for place, count in counts.items()])
+        reports.append(totals.select(F.inline(F.array(
+            *[line(place, rule, F.col(f"v{place}")) for place, rule in row_rules]
+        ))))
     for place, rule in enumerate(rules, start=1):
         if rule.kind == "unique":
             repeated = (
@@ -188,10 +191,8 @@ def rule_violations(df: DataFrame, dataset: str, rules) -> DataFrame:
                 .groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
                 .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n"))
             )
-            report = report.unionAll(
-                repeated.select(F.inline(F.array(line(place, rule, F.col("n")))))
-            )
-    return report
+            reports.append(repeated.select(F.inline(F.array(line(place, rule, F.col("n"))))))
+    return reduce(DataFrame.unionAll, reports)
 
 
 def _sample(df: DataFrame, rule: Rule, rules) -> list[dict]:
@@ -210,29 +211,34 @@ def _sample(df: DataFrame, rule: Rule, rules) -> list[dict]:
     return [row.asDict() for row in bad.limit(SAMPLE_ROWS).collect()]
 
 
-def enforce(df: DataFrame, dataset: str, rules) -> None:
-    """Raise for the first rule that some row breaks."""
-    require_columns(df, {name for rule in rules for name in rule.columns}, dataset)
-    report = rule_violations(df, dataset, rules).where("violations > 0")
-    broken = report.orderBy("rule_no").first()
-    if broken is None:
-        return
-    rule = rules[broken.rule_no - 1]
+def _raise(df: DataFrame, dataset: str, rules, rule_no: int) -> None:
+    rule = rules[rule_no - 1]
     text = f"{dataset}: {rule.message()}"
     if rule.kind != "not_empty":
         text += f"; sample={_sample(df, rule, rules)}"
     raise DataQualityError(text)
 
 
-def enforce_sources(sources: dict[str, DataFrame]) -> None:
-    for dataset, rules in CONTRACTS.items():
-        enforce(sources[dataset], dataset, rules)
+def enforce(df: DataFrame, dataset: str, rules) -> None:
+    """Raise for the first rule that some row breaks."""
+    require_columns(df, {name for rule in rules for name in rule.columns}, dataset)
+    broken = rule_violations(df, dataset, rules).where("violations > 0").orderBy("rule_no").first()
+    if broken is not None:
+        _raise(df, dataset, rules, broken.rule_no)
 
 
 def source_violations(sources: dict[str, DataFrame]) -> DataFrame:
-    """Violation counts of all datasets in one frame."""
+    """Violation counts of all datasets in one frame, so one job counts them all."""
     reports = [rule_violations(sources[name], name, rules) for name, rules in CONTRACTS.items()]
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionAll(report)
-    return result
+    return reduce(DataFrame.unionAll, reports)
+
+
+def enforce_sources(sources: dict[str, DataFrame]) -> None:
+    """Raise for the first broken rule, datasets in the order of their contracts."""
+    for dataset, rules in CONTRACTS.items():
+        columns = {name for rule in rules for name in rule.columns}
+        require_columns(sources[dataset], columns, dataset)
+    order = list(CONTRACTS)
+    broken = source_violations(sources).where("violations > 0").collect()
+    for row in sorted(broken, key=lambda row: (order.index(row.dataset), row.rule_no))[:1]:
+        _raise(sources[row.dataset], row.dataset, CONTRACTS[row.dataset], row.rule_no)

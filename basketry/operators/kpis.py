@@ -12,9 +12,11 @@ from basketry.operators.measures import (
 MAX_ROWS = 100
 MAX_AISLES = 134
 
-# Only ever laid over frames that are already grouped by weekday, hour, segment, band,
-# department or day type, that is over a handful of rows.
-EVERYTHING = Window.partitionBy()
+
+def everything():
+    """Window over all rows. It is only ever laid over frames that are already grouped by
+    weekday, hour, segment, band, department or day type, that is over a handful of rows."""
+    return Window.partitionBy()
 
 
 def bounded(value: int, high: int) -> int:
@@ -35,7 +37,7 @@ def not_negative(value: int, name: str) -> int:
 
 
 def share_of_all(column: str):
-    return share(F.col(column), F.sum(column).over(EVERYTHING))
+    return share(F.col(column), F.sum(column).over(everything()))
 
 
 def mean_ratio_pct():

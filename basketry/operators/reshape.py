@@ -50,8 +50,8 @@ def normalized_comparison(departments: DataFrame, *names: str) -> DataFrame:
     indexed = departments.select(
         "department_name",
         *[F.coalesce(
-            F.when(F.max(metric).over(kpis.EVERYTHING) > 0,
-                   F.col(metric).cast("double") / F.max(metric).over(kpis.EVERYTHING) * 100),
+            F.when(F.max(metric).over(kpis.everything()) > 0,
+                   F.col(metric).cast("double") / F.max(metric).over(kpis.everything()) * 100),
             F.lit(0.0),
         ).alias(COMPARISON_METRICS[metric]) for metric in metrics],
     )

@@ -9,7 +9,7 @@ from basketry.errors import PipelineError
 from basketry.schemas import TABLES
 from basketry.sources import storage
 
-CURRENT = "_current.json"
+CURRENT = "current.json"
 
 
 class Warehouse:

@@ -116,7 +116,7 @@ def write_dimension(spark, folder):
     wh = open_mart(spark, folder).warehouse
     target = _fresh(spark, "dimensions")
     counts = [
-        (name, pipeline.write_table(wh.table(name), name, target)["rows"])
+        (name, pipeline.write_table(wh.table(name), name, target))
         for name in TABLES if name not in PARTITION_COLUMN
     ]
     return spark.createDataFrame(counts, "table_name string, row_count bigint")

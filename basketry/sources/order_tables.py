@@ -84,7 +84,7 @@ def number_orders(orders: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("day"),
     )
     sizes = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    cold, hot, _ = split_hot(rows, ["user_id"], sizes, limit)
+    cold, hot = split_hot(rows, ["user_id"], sizes, limit)
 
     history = Window.partitionBy("user_id").orderBy("day", "order_id")
     numbered = cold.select(
@@ -123,15 +123,19 @@ def number_orders(orders: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     )
 
 
-def orders_source(numbered: DataFrame, lineitem: DataFrame) -> DataFrame:
+def count_lines(lineitem: DataFrame) -> DataFrame:
+    """(order_id, n): lines per order as stored, combined on the map side."""
+    return lineitem.groupBy((F.col("l_orderkey") + 1).alias("order_id")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def orders_source(numbered: DataFrame, sizes: DataFrame) -> DataFrame:
     """``test`` orders have no lines; a user's last order is ``train``, the others ``prior``."""
-    filled = lineitem.select(
-        (F.col("l_orderkey") + 1).alias("order_id"), F.lit(True).alias("has_lines")
-    ).distinct()
-    return numbered.join(filled, "order_id", "left").select(
+    return numbered.join(sizes, "order_id", "left").select(
         "order_id",
         "user_id",
-        F.when(F.col("has_lines").isNull(), F.lit("test"))
+        F.when(F.col("n").isNull(), F.lit("test"))
         .when(F.col("is_last"), F.lit("train")).otherwise(F.lit("prior")).alias("eval_set"),
         "order_number",
         (F.dayofweek("day") - 1).alias("order_dow"),
@@ -140,7 +144,7 @@ def orders_source(numbered: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def cart_lines(lineitem: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
+def cart_lines(lineitem: DataFrame, sizes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """Distinct products per order with their place in the cart.
 
     Ordinary orders take one shuffle by order: duplicates, position and the later join to
@@ -152,8 +156,7 @@ def cart_lines(lineitem: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
         (F.col("l_partkey") + 1).alias("product_id"),
         F.col("l_linenumber").alias("line_number"),
     )
-    sizes = raw.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    cold, hot, _ = split_hot(raw, ["order_id"], sizes, limit)
+    cold, hot = split_hot(raw, ["order_id"], sizes, limit)
     first_line = F.min("line_number").alias("line_number")
 
     cart = Window.partitionBy("order_id").orderBy("line_number", "product_id")
@@ -176,7 +179,9 @@ def cart_lines(lineitem: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     return lines
 
 
-def order_lines_source(numbered: DataFrame, lineitem: DataFrame, limit: int = GROUP_LIMIT):
+def order_lines_source(
+    numbered: DataFrame, lineitem: DataFrame, sizes: DataFrame, limit: int = GROUP_LIMIT
+) -> DataFrame:
     """Lines of all orders; ``reordered`` marks products the user bought in an earlier order.
 
     The first purchase of each (user, product) is found by a combining aggregate, and is
@@ -184,7 +189,7 @@ def order_lines_source(numbered: DataFrame, lineitem: DataFrame, limit: int = GR
     that dominates the data meets no other row on its key.
     """
     bought = materialize(
-        cart_lines(lineitem, limit)
+        cart_lines(lineitem, sizes, limit)
         .join(numbered.select("order_id", "user_id", "order_number", "is_last"),
               "order_id", "left")
         .select(
@@ -206,18 +211,20 @@ def order_lines_source(numbered: DataFrame, lineitem: DataFrame, limit: int = GR
 
 def read_sources(spark: SparkSession, folder: str, limit: int = GROUP_LIMIT):
     """The six sources, with the derived order and line tables written to shared storage."""
-    paths = {name: f"{folder.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem", "part")}
+    folder = folder.rstrip("/")
+    paths = {name: f"{folder}/{name}.parquet" for name in ("orders", "lineitem", "part")}
     size_shuffles(spark, sum(storage.size_bytes(spark, path) for path in paths.values()))
     orders, lineitem, part = (spark.read.parquet(path) for path in paths.values())
     numbered = materialize(number_orders(orders, limit), "numbered-orders")
-    lines = materialize(order_lines_source(numbered, lineitem, limit), "order-lines")
+    sizes = materialize(count_lines(lineitem), "line-counts")
+    lines = materialize(order_lines_source(numbered, lineitem, sizes, limit), "order-lines")
     loaded = {name: lines.where(F.col("eval_set") == name).drop("eval_set")
               for name in ("prior", "train")}
     return {
         "departments": departments(part),
         "aisles": aisles(part),
         "products": products(part),
-        "orders": materialize(orders_source(numbered, lineitem), "orders"),
+        "orders": materialize(orders_source(numbered, sizes), "orders"),
         "order_products_prior": loaded["prior"],
         "order_products_train": loaded["train"],
     }

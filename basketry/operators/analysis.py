@@ -170,8 +170,7 @@ def weekend_vs_weekday(wh) -> DataFrame:
     """
     periods = order_reach(with_time(wh.fact_orders, wh), "day_type")
     volume = (
-        with_time(sales_by(wh, "department_id", "time_id"), wh)
-        .groupBy("day_type", "department_id").agg(F.sum("items").alias("items"))
+        sales_by(wh, "department_id", "day_type")
         .join(wh.dim_department, "department_id")
         .groupBy("day_type", "department_name").agg(F.sum("items").alias("items"))
     )

@@ -53,8 +53,11 @@ def order_reach(df: DataFrame, *by) -> DataFrame:
 
 
 def product_sales(wh, *by) -> DataFrame:
-    """Lines and reordered lines per product (and any further line columns)."""
-    return wh.fact_order_details.groupBy("product_id", *by).agg(
+    """Lines and reordered lines per product (and any line or calendar columns)."""
+    lines = wh.fact_order_details
+    if any(name not in lines.columns for name in by):
+        lines = with_time(lines, wh)
+    return lines.groupBy("product_id", *by).agg(
         F.count(F.lit(1)).alias("items"), F.sum("reordered").alias("reordered_items")
     )
 

@@ -8,6 +8,7 @@ import json
 import time
 import uuid
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from basketry.plans.warehouse import (
     CURRENT, Warehouse, current_run, open_warehouse, read_run, table_counts,
 )
 from basketry.schemas import MUTABLE_TABLES, PARTITION_COLUMN, TABLES
+from basketry.session import together
 from basketry.sources import storage
 
 # Lines are stored by range of order id: steps of half a million orders, but no fewer
@@ -55,14 +57,17 @@ def write_table(df: DataFrame, name: str, folder: str) -> int:
     return rows
 
 
+def count_rows(wh: Warehouse) -> dict[str, int]:
+    return {row.table_name: row.row_count for row in table_counts(wh).collect()}
+
+
 def ensure_empty_target(spark: SparkSession, root: str) -> None:
     """Refuse to load over a warehouse that already holds data."""
     if current_run(spark, root) is None:
         return
     filled = [
-        f"{row.table_name}={row.row_count:,}"
-        for row in table_counts(open_warehouse(spark, root)).collect()
-        if row.table_name in MUTABLE_TABLES and row.row_count
+        f"{name}={rows:,}" for name, rows in count_rows(open_warehouse(spark, root)).items()
+        if name in MUTABLE_TABLES and rows
     ]
     if filled:
         raise PipelineError(
@@ -81,13 +86,16 @@ def _write_tables(sources: dict[str, DataFrame], folder: str, stages: list) -> i
         stages.append({"name": name, "rows": rows, "elapsed_seconds": seconds})
 
     def dimensions():
-        write_table(transforms.dim_time(spark), "dim_time", folder)
         frames = {
+            "dim_time": transforms.dim_time(spark),
             "dim_department": transforms.transform_departments(sources["departments"]),
             "dim_aisle": transforms.transform_aisles(sources["aisles"]),
             "dim_product": transforms.transform_products(sources["products"]),
         }
-        return sum(write_table(df, name, folder) for name, df in frames.items())
+        _, *rows = together(*[
+            partial(write_table, df, name, folder) for name, df in frames.items()
+        ])
+        return sum(rows)
 
     orders = transforms.transform_orders(sources["orders"])
     top = sources["orders"].agg(F.max(F.col("order_id").cast("bigint"))).first()[0]
@@ -148,10 +156,12 @@ def build_warehouse(
             enforce_sources(sources)
         width = _write_tables(sources, folder, stages)
         wh = read_run(spark, folder, width)
-        checks.require_resolved_details(wh)
-        checks.require_derived_metrics(wh)
-        report["quality_checks"] = checks.require_warehouse(wh)
-        report["table_counts"] = {r.table_name: r.row_count for r in table_counts(wh).collect()}
+        _, _, report["quality_checks"], report["table_counts"] = together(
+            lambda: checks.require_resolved_details(wh),
+            lambda: checks.require_derived_metrics(wh),
+            lambda: checks.require_warehouse(wh),
+            lambda: count_rows(wh),
+        )
         storage.write_text(
             spark, f"{root}/{CURRENT}", json.dumps({"run_id": run_id, "range_width": width})
         )
@@ -174,7 +184,7 @@ def validate_warehouse(spark: SparkSession, root: str) -> dict:
     return {
         "mode": "validate",
         "quality_checks": checks.require_warehouse(wh),
-        "table_counts": {r.table_name: r.row_count for r in table_counts(wh).collect()},
+        "table_counts": count_rows(wh),
     }
 
 

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +36,22 @@ def work_folder(spark: SparkSession) -> str:
     return _ROOTS[application]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back.
+def materialize(df: DataFrame, name: str, *directories: str) -> DataFrame:
+    """Write ``df`` to the work folder and read it back, optionally split into directories.
 
     A written table cuts the lineage: nothing upstream runs again, whichever executors
     are lost later, and both sides of a later join start from a plain scan.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*directories).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def together(*operations):
+    """Results of independent jobs that run side by side on the cluster."""
+    with ThreadPoolExecutor(len(operations)) as pool:
+        return [future.result() for future in [pool.submit(run) for run in operations]]
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:

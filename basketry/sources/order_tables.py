@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.ranking import GROUP_LIMIT, rank_in_pieces, split_hot
-from basketry.session import materialize, size_shuffles
+from basketry.session import materialize, size_shuffles, together
 from basketry.sources import storage
 
 # Part types in alphabetical order are departments 1 to 6.
@@ -215,16 +215,23 @@ def read_sources(spark: SparkSession, folder: str, limit: int = GROUP_LIMIT):
     paths = {name: f"{folder}/{name}.parquet" for name in ("orders", "lineitem", "part")}
     size_shuffles(spark, sum(storage.size_bytes(spark, path) for path in paths.values()))
     orders, lineitem, part = (spark.read.parquet(path) for path in paths.values())
-    numbered = materialize(number_orders(orders, limit), "numbered-orders")
-    sizes = materialize(count_lines(lineitem), "line-counts")
-    lines = materialize(order_lines_source(numbered, lineitem, sizes, limit), "order-lines")
+    numbered, sizes = together(
+        lambda: materialize(number_orders(orders, limit), "numbered-orders"),
+        lambda: materialize(count_lines(lineitem), "line-counts"),
+    )
+    lines, order_rows = together(
+        lambda: materialize(
+            order_lines_source(numbered, lineitem, sizes, limit), "order-lines", "eval_set"
+        ),
+        lambda: materialize(orders_source(numbered, sizes), "orders"),
+    )
     loaded = {name: lines.where(F.col("eval_set") == name).drop("eval_set")
               for name in ("prior", "train")}
     return {
         "departments": departments(part),
         "aisles": aisles(part),
         "products": products(part),
-        "orders": materialize(orders_source(numbered, sizes), "orders"),
+        "orders": order_rows,
         "order_products_prior": loaded["prior"],
         "order_products_train": loaded["train"],
     }

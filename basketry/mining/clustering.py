@@ -67,14 +67,15 @@ def _block_distances(columns: list[str]):
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Per left row: summed distance to, and rows of, each cluster on the right."""
-        a, b = left[columns].to_numpy(), right[columns].to_numpy()
+        a = left[columns].to_numpy()
+        b = right[[f"o_{name}" for name in columns]].to_numpy()
         squares = np.zeros((len(a), len(b)))
         for column in range(a.shape[1]):
             squares += (a[:, column, None] - b[None, :, column]) ** 2
         distances = np.sqrt(squares)
         frames = [pd.DataFrame(columns=names)]
-        for other in np.unique(right["cluster"]):
-            members = (right["cluster"] == other).to_numpy()
+        for other in np.unique(right["other"]):
+            members = (right["other"] == other).to_numpy()
             frames.append(pd.DataFrame({
                 "user_id": left["user_id"], "cluster": left["cluster"], "other": other,
                 "distance": distances[:, members].sum(axis=1), "members": int(members.sum()),
@@ -101,10 +102,14 @@ def silhouette(rows: DataFrame, count: int) -> DataFrame:
         "silhouette-rows",
     )
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    left = dealt.select("*", F.col("block").alias("i"), every.alias("j"))
-    right = dealt.select("*", every.alias("i"), F.col("block").alias("j"))
+    left = dealt.select("user_id", "cluster", *SCALED, F.col("block").alias("i"), every.alias("j"))
+    # names of their own keep the optimizer from taking one side's columns for the other's
+    right = dealt.select(
+        F.col("cluster").alias("other"), *[F.col(name).alias(f"o_{name}") for name in SCALED],
+        every.alias("with_i"), F.col("block").alias("with_j"),
+    )
     sums = (
-        left.groupBy("i", "j").cogroup(right.groupBy("i", "j"))
+        left.groupBy("i", "j").cogroup(right.groupBy("with_i", "with_j"))
         .applyInPandas(
             _block_distances(list(SCALED)),
             "user_id bigint, cluster bigint, other bigint, distance double, members bigint",

@@ -1,10 +1,10 @@
 """K-Means segments of users, their scores and their profiles."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +26,12 @@ SMALL_CLUSTERS = 10_000
 
 @dataclass(frozen=True)
 class Fit:
-    """Labelled rows, centres in label order, and the sum of squared distances."""
+    """Labelled rows, centres in label order, the sum of squared distances, and the model."""
 
     frame: DataFrame
     centers: list
     inertia: float
+    model: KMeansModel
 
 
 def _assembled(scaled: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def fit_kmeans(
     labelled = best.transform(_assembled(scaled)).select(
         *scaled.columns, labels[F.col("label")].alias("cluster")
     )
-    return Fit(labelled, [centers[index] for index in order], float(best.summary.trainingCost))
+    inertia = float(best.summary.trainingCost)
+    return Fit(labelled, [centers[index] for index in order], inertia, best)
 
 
 def _block_distances(columns: list[str]):
@@ -271,7 +273,7 @@ def train(
         raise ValueError("k must be between 2 and number_of_users - 1")
     scaled = materialize(standardize(features), "scaled-features")
     fit = fit_kmeans(scaled, k, seed, n_init)
-    fit = Fit(materialize(fit.frame, "clusters"), fit.centers, fit.inertia)
+    fit = replace(fit, frame=materialize(fit.frame, "clusters"))
     return fit, {
         "silhouette": bounded_silhouette(fit.frame, sample_size, seed).first()["silhouette"],
         "davies_bouldin": davies_bouldin(fit.frame),

@@ -37,8 +37,8 @@ def user_features(wh, min_orders: int = 3) -> DataFrame:
     )
 
 
-def require_features(features: DataFrame) -> int:
-    """Number of rows, after checking that all features are there and finite."""
+def feature_violations(features: DataFrame) -> DataFrame:
+    """Row count, and per feature the values that are missing or not finite, as one row."""
     missing = [name for name in FEATURES if name not in features.columns]
     if missing:
         raise ClusteringDataError(f"Missing feature columns: {', '.join(missing)}")
@@ -50,30 +50,43 @@ def require_features(features: DataFrame) -> int:
         value = F.col(name).cast("double")
         return value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))
 
-    row = features.agg(
-        F.count(F.lit(1)).alias("rows"),
+    return features.agg(
+        F.count(F.lit(1)).alias("users"),
         *[F.count_if(broken(name)).alias(name) for name in FEATURES],
-    ).first()
-    if row["rows"] < 3:
+    )
+
+
+def require_features(features: DataFrame) -> int:
+    """Number of users, after checking that all features are there and finite."""
+    row = feature_violations(features).first()
+    if row["users"] < 3:
         raise ClusteringDataError("At least three users are required")
     bad = [name for name in FEATURES if row[name]]
     if bad:
         raise ClusteringDataError(f"Features must be finite numbers: {', '.join(bad)}")
-    return row["rows"]
+    return row["users"]
 
 
-def standardize(features: DataFrame) -> DataFrame:
-    """Add centred features in units of the population standard deviation.
+def fit_scaler(features: DataFrame) -> dict[str, tuple[float, float]]:
+    """Mean and population standard deviation per feature; 1 stands in for no variance.
 
-    A feature without variance becomes 0. The eight fitted numbers are all that passes
-    through the driver.
+    These eight numbers are all that passes through the driver.
     """
-    fitted = features.agg(
+    row = features.agg(
         *[F.avg(name).alias(f"m_{name}") for name in FEATURES],
         *[F.stddev_pop(name).alias(f"s_{name}") for name in FEATURES],
     ).first()
-    return features.select(
-        "*",
-        *[((F.col(name) - fitted[f"m_{name}"]) / (fitted[f"s_{name}"] or 1.0))
-          .alias(scaled_name(name)) for name in FEATURES],
-    )
+    return {name: (float(row[f"m_{name}"]), float(row[f"s_{name}"]) or 1.0) for name in FEATURES}
+
+
+def scale(features: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
+    """Add the standard scores of a fitted scaler."""
+    return features.select("*", *[
+        ((F.col(name) - center) / spread).alias(scaled_name(name))
+        for name, (center, spread) in scaler.items()
+    ])
+
+
+def standardize(features: DataFrame) -> DataFrame:
+    """Centred features in units of the population standard deviation."""
+    return scale(features, fit_scaler(features))

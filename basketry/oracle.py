@@ -1031,6 +1031,17 @@ _QUERIES = {
                round(avg(avg_reorder_ratio), 9) AS avg_reorder_ratio_mean,
                round(avg(avg_days_between_orders), 9) AS avg_days_between_orders_mean
         FROM scaled GROUP BY cluster""",
+    "feature_violations": "SELECT count(*) AS users, " + ", ".join(
+        f"count(*) FILTER ({n} IS NULL OR NOT isfinite(CAST({n} AS DOUBLE))) AS {n}"
+        for n in FEATURES
+    ) + f""" FROM (
+        SELECT user_id, count(*) AS total_orders,
+               {mean('sum(total_items)', 'count(*)')} AS avg_basket_size,
+               {mean(RATIO_UNITS, 'count(*) * 10000')} AS avg_reorder_ratio,
+               {mean(GAP_UNITS, f'nullif({GAPS}, 0) * 100')} AS avg_days_between_orders
+        FROM fact_orders WHERE total_items > 0 GROUP BY user_id HAVING count(*) >= 2)""",
+    "save_cluster_labels": "SELECT CAST(user_id AS VARCHAR) AS user_id, "
+                           "CAST(cluster AS VARCHAR) AS cluster FROM labels",
     "load_cluster_labels": "SELECT user_id, cluster FROM labels",
     "resolve_item_space": "SELECT cart_id, space FROM mixed_carts",
     "recommend_by_rules": _rule_ranking("mixed_carts", 5),

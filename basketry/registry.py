@@ -397,11 +397,20 @@ def sampled_silhouette(wh):
     return C.bounded_silhouette(_segmented(wh), sample_size=500)
 
 
-def save_cluster_labels(spark, folder):
-    wh = open_mart(spark, folder).warehouse
+def _saved_labels(spark, folder):
     path = _fresh(spark, "labels")
-    artifacts.save_cluster_labels(_segment_labels(wh), path)
-    return artifacts.load_cluster_labels(spark, path)
+    labels = _segment_labels(open_mart(spark, folder).warehouse)
+    artifacts.save_cluster_labels(labels, path)
+    return path
+
+
+def save_cluster_labels(spark, folder):
+    text = artifacts.read_text_csv(spark, _saved_labels(spark, folder))
+    return text.select("user_id", "cluster")
+
+
+def load_cluster_labels(spark, folder):
+    return artifacts.load_cluster_labels(spark, _saved_labels(spark, folder))
 
 
 # --- recommendations ------------------------------------------------------------------
@@ -559,6 +568,7 @@ QUERIES = {
     "load_association_rules": load_association_rules,
     # clustering
     "user_features": _warehouse(FE.user_features),
+    "feature_violations": _warehouse(lambda wh: FE.feature_violations(FE.user_features(wh, 2))),
     "standardize": _warehouse(lambda wh: rounded(
         FE.standardize(FE.user_features(wh)).select("user_id", *FE.SCALED), 6)),
     "silhouette_of_segments": _warehouse(_silhouette_given),
@@ -571,7 +581,8 @@ QUERIES = {
     "bounded_silhouette": _warehouse(sampled_silhouette),
     "pca_2d": _warehouse(pca_points),
     "clustering_run": clustering_run,
-    "load_cluster_labels": save_cluster_labels,
+    "save_cluster_labels": save_cluster_labels,
+    "load_cluster_labels": load_cluster_labels,
     # recommendations
     "resolve_item_space": _warehouse(resolve_item_space),
     "recommend_by_rules": _warehouse(recommend_by_rules),

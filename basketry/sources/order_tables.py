@@ -31,6 +31,7 @@ AISLE_NAMES = (
 LONGEST_GAP = 30
 # Ids are unique, so a range of 2^20 ids never holds more rows than a task sorts.
 ID_RANGE_BITS = 20
+LINE_RANGE_BITS = 10
 
 
 def _id_range(column: Column) -> Column:
@@ -167,14 +168,14 @@ def cart_lines(lineitem: DataFrame, sizes: DataFrame, limit: int = GROUP_LIMIT)
     if hot is not None:
         distinct = materialize(
             hot.groupBy("order_id", "product_id").agg(first_line)
+            .withColumn("line_range", F.shiftright("line_number", LINE_RANGE_BITS))
             .withColumn("id_range", _id_range(F.col("product_id"))),
             "hot-orders",
         )
+        levels = ["line_range", "line_number", "id_range", "product_id"]
         lines = lines.unionByName(
-            rank_in_pieces(
-                distinct, ["order_id"], ["line_number", "id_range", "product_id"],
-                "add_to_cart_order",
-            ).select("order_id", "product_id", "add_to_cart_order")
+            rank_in_pieces(distinct, ["order_id"], levels, "add_to_cart_order")
+            .select("order_id", "product_id", "add_to_cart_order")
         )
     return lines
 

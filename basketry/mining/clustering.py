@@ -38,6 +38,19 @@ def _assembled(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(SCALED), outputCol="features").transform(scaled)
 
 
+def _ordered_centers(model: KMeansModel) -> list[tuple[int, tuple[float, ...]]]:
+    """(model index, centre) in the order of the centres, which is the order of labels."""
+    centers = [tuple(float(x) for x in center) for center in model.clusterCenters()]
+    return sorted(enumerate(centers), key=lambda pair: pair[1])
+
+
+def assign(model: KMeansModel, scaled: DataFrame) -> DataFrame:
+    """Rows with their ``cluster``; a saved model labels new users the same way."""
+    pairs = [F.lit(v) for new, (old, _) in enumerate(_ordered_centers(model)) for v in (old, new)]
+    index = F.create_map(*pairs)[F.col(model.getPredictionCol())]
+    return model.transform(_assembled(scaled)).select(*scaled.columns, index.alias("cluster"))
+
+
 def fit_kmeans(
     scaled: DataFrame, k: int, seed: int = DEFAULT_SEED, n_init: int = 10, max_iter: int = 300
 ) -> Fit:
@@ -52,14 +65,8 @@ def fit_kmeans(
     finally:
         data.unpersist()
     best = min(runs, key=lambda model: model.summary.trainingCost)
-    centers = [tuple(float(x) for x in center) for center in best.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda index: centers[index])
-    labels = F.create_map(*[F.lit(v) for new, old in enumerate(order) for v in (old, new)])
-    labelled = best.transform(_assembled(scaled)).select(
-        *scaled.columns, labels[F.col("label")].alias("cluster")
-    )
-    inertia = float(best.summary.trainingCost)
-    return Fit(labelled, [centers[index] for index in order], inertia, best)
+    centers = [center for _, center in _ordered_centers(best)]
+    return Fit(assign(best, scaled), centers, float(best.summary.trainingCost), best)
 
 
 def _block_distances(columns: list[str]):

@@ -184,6 +184,8 @@ def test_two_groups_are_found_and_repeat(users):
     assert labels == sorted(rows(C.cluster_labels(second.frame)))
     assert [label for _, label in labels] == [1] * 6 + [0] * 6
     assert 0.8 < metrics["silhouette"] <= 1 and metrics["davies_bouldin"] < 0.5
+    again = C.assign(first.model, FE.scale(users, FE.fit_scaler(users)))
+    assert sorted(rows(C.cluster_labels(again))) == labels
     profiles = C.profile_clusters(first.frame).collect()
     assert [(p.cluster_name, p.num_users) for p in profiles] == [
         ("Occasional Buyers", 6), ("Frequent Shoppers", 6)]

@@ -106,7 +106,9 @@ def basket(spark, args) -> None:
     wh = open_warehouse(spark, args.warehouse)
     limit = None if args.full else args.order_limit
     lines = B.basket_lines(wh, limit=limit, seed=args.seed)
-    prepared = B.prepare_baskets(lines, top_n=args.top_products, min_items=args.min_items)
+    prepared = B.prepare_baskets(
+        lines, top_n=args.top_products, min_items=args.min_items, width=wh.task_width
+    )
     mine = I.frequent_itemsets if args.algorithm == "fpgrowth" else I.apriori_itemsets
     itemsets = mine(prepared, args.min_support)
     rules = RU.require_rules(

@@ -89,14 +89,18 @@ def top_items(lines: DataFrame, n: int = DEFAULT_TOP_ITEMS, min_items: int = 2)
     )
 
 
-def prune_baskets(lines: DataFrame, top: DataFrame, min_items: int = 2) -> DataFrame:
+def prune_baskets(
+    lines: DataFrame, top: DataFrame, min_items: int = 2, width: int | None = None
+) -> DataFrame:
     """(order_id, items) with only top items; emptied baskets stay, as empty arrays.
 
     Lines are flagged before they are collected, so an array never grows beyond the top
-    list, whatever the size of the order.
+    list, whatever the size of the order. The one shuffle has a fixed ``width``: mining
+    costs far more than the bytes of a basket, by which Spark would merge small tasks.
     """
     chosen = top.select("item", F.lit(True).alias("is_top"))
-    flagged = lines.join(chosen, "item", "left")
+    width = width or lines.sparkSession.sparkContext.defaultParallelism
+    flagged = lines.join(chosen, "item", "left").repartition(width, "order_id")
     kept = F.collect_set(F.when(F.col("is_top"), F.col("item")))
     return (
         flagged.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"), kept.alias("items"))
@@ -106,7 +110,8 @@ def prune_baskets(lines: DataFrame, top: DataFrame, min_items: int = 2) -> DataF
 
 
 def prepare_baskets(
-    lines: DataFrame, *, top_n: int = DEFAULT_TOP_ITEMS, min_items: int = 2
+    lines: DataFrame, *, top_n: int = DEFAULT_TOP_ITEMS, min_items: int = 2,
+    width: int | None = None,
 ) -> Baskets:
     """Pruned baskets on shared storage, with their exact number."""
     if min_items < 1:
@@ -114,7 +119,7 @@ def prepare_baskets(
     top = materialize(top_items(lines, top_n, min_items), "top-items")
     if top_n <= BROADCAST_ITEMS:
         top = F.broadcast(top)
-    frame = materialize(prune_baskets(lines, top, min_items), "baskets")
+    frame = materialize(prune_baskets(lines, top, min_items, width), "baskets")
     count = frame.count()
     if not count:
         raise BasketDataError(f"No baskets satisfy min_items={min_items}")

@@ -117,6 +117,9 @@ def silhouette(rows: DataFrame, count: int) -> DataFrame:
         F.col("cluster").alias("other"), *[F.col(name).alias(f"o_{name}") for name in SCALED],
         every.alias("with_i"), F.col("block").alias("with_j"),
     )
+    # a fixed width, because blocks are small in bytes and would be merged into few tasks
+    tasks = blocks * blocks
+    left, right = left.repartition(tasks, "i", "j"), right.repartition(tasks, "with_i", "with_j")
     sums = (
         left.groupBy("i", "j").cogroup(right.groupBy("with_i", "with_j"))
         .applyInPandas(

@@ -6,13 +6,14 @@ violated rule is the one reported.
 """
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.errors import DataQualityError
 from basketry.functions.numbers import number
+from basketry.session import together
 
 SAMPLE_ROWS = 5
 MAX_POSITION = 32_767
@@ -228,17 +229,22 @@ def enforce(df: DataFrame, dataset: str, rules) -> None:
 
 
 def source_violations(sources: dict[str, DataFrame]) -> DataFrame:
-    """Violation counts of all datasets in one frame, so one job counts them all."""
+    """Violation counts of all datasets in one frame."""
     reports = [rule_violations(sources[name], name, rules) for name, rules in CONTRACTS.items()]
     return reduce(DataFrame.unionAll, reports)
 
 
 def enforce_sources(sources: dict[str, DataFrame]) -> None:
-    """Raise for the first broken rule, datasets in the order of their contracts."""
+    """Check all datasets side by side; raise for the first broken rule in contract order."""
     for dataset, rules in CONTRACTS.items():
         columns = {name for rule in rules for name in rule.columns}
         require_columns(sources[dataset], columns, dataset)
-    order = list(CONTRACTS)
-    broken = source_violations(sources).where("violations > 0").collect()
-    for row in sorted(broken, key=lambda row: (order.index(row.dataset), row.rule_no))[:1]:
-        _raise(sources[row.dataset], row.dataset, CONTRACTS[row.dataset], row.rule_no)
+
+    def first_broken(dataset):
+        report = rule_violations(sources[dataset], dataset, CONTRACTS[dataset])
+        return report.where("violations > 0").orderBy("rule_no").first()
+
+    broken = together(*[partial(first_broken, dataset) for dataset in CONTRACTS])
+    for dataset, row in zip(CONTRACTS, broken, strict=True):
+        if row is not None:
+            _raise(sources[dataset], dataset, CONTRACTS[dataset], row.rule_no)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from basketry.errors import PipelineError
 from basketry.schemas import TABLES
+from basketry.session import size_shuffles
 from basketry.sources import storage
 
 CURRENT = "current.json"
+BYTES_PER_TASK = 32 * 1024 * 1024
 
 
 class Warehouse:
@@ -32,6 +34,13 @@ class Warehouse:
     def spark(self) -> SparkSession:
         return self._tables["dim_time"].sparkSession
 
+    @property
+    def task_width(self) -> int:
+        """Tasks for work that costs more than its bytes: every core, and enough for the lines."""
+        lines = f"{self.folder}/fact_order_details"
+        stored = storage.size_bytes(self.spark, lines) if self.folder else 0
+        return max(self.spark.sparkContext.defaultParallelism, -(-stored // BYTES_PER_TASK))
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raise ValueError(f"table_name must be one of: {', '.join(TABLES)}")
@@ -58,6 +67,7 @@ def current_run(spark: SparkSession, root: str) -> dict | None:
 
 
 def read_run(spark: SparkSession, folder: str, range_width: int) -> Warehouse:
+    size_shuffles(spark, storage.size_bytes(spark, folder))
     tables = {
         name: spark.read.schema(schema).parquet(f"{folder}/{name}")
         for name, schema in TABLES.items()

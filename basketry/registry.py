@@ -20,7 +20,7 @@ from basketry.plans import pipeline
 from basketry.plans.mart import open_mart
 from basketry.plans.warehouse import table_counts
 from basketry.schemas import PARTITION_COLUMN, SOURCES, TABLES
-from basketry.session import work_folder
+from basketry.session import materialize, work_folder
 from basketry.sources import artifacts, files
 
 # Thresholds that fit tables of any size: shares, or counts well inside the test tables.
@@ -225,12 +225,16 @@ def _basket_json(df):
                      F.to_json("items").alias("items_json"))
 
 
+def _baskets(wh, item, **options):
+    return B.prepare_baskets(_lines(wh, item), width=wh.task_width, **options)
+
+
 def _aisle_itemsets(wh, mine=I.frequent_itemsets):
-    return mine(B.prepare_baskets(_lines(wh, "aisle")), AISLE_SUPPORT)
+    return mine(_baskets(wh, "aisle"), AISLE_SUPPORT)
 
 
 def _product_itemsets(wh, mine=I.frequent_itemsets):
-    return mine(B.prepare_baskets(_lines(wh, "product")), PRODUCT_SUPPORT)
+    return mine(_baskets(wh, "product"), PRODUCT_SUPPORT)
 
 
 def _itemset_rows(itemsets):
@@ -312,7 +316,7 @@ def itemset_json_forms(spark, folder):
 
 def basket_run(wh):
     """Settings and sizes of one mining run."""
-    baskets = B.prepare_baskets(_lines(wh, "product"))
+    baskets = _baskets(wh, "product")
     itemsets = I.frequent_itemsets(baskets, PRODUCT_SUPPORT)
     rules = RU.generate_rules(itemsets, min_threshold=PRODUCT_CONFIDENCE)
     sizes = itemsets.agg(
@@ -338,9 +342,10 @@ def _segment_labels(wh):
 
 
 def _segmented(wh):
-    features = FE.user_features(wh)
+    features = materialize(FE.user_features(wh), "features")
     FE.require_features(features)
-    return FE.standardize(features).join(_segment_labels(wh), "user_id")
+    return materialize(
+        FE.standardize(features).join(_segment_labels(wh), "user_id"), "segmented")
 
 
 def _silhouette_given(wh):
@@ -552,7 +557,7 @@ QUERIES = {
     "sampled_baskets": _warehouse(sampled_baskets),
     "top_items": _warehouse(lambda wh: B.top_items(_lines(wh, "product"), 500)),
     "prune_baskets": _warehouse(lambda wh: _basket_json(
-        B.prepare_baskets(_lines(wh, "product"), top_n=500).frame)),
+        _baskets(wh, "product", top_n=500).frame)),
     "frequent_itemsets": _warehouse(lambda wh: _itemset_rows(_aisle_itemsets(wh))),
     "frequent_itemsets_products": _warehouse(lambda wh: _itemset_rows(_product_itemsets(wh))),
     "apriori_itemsets": _warehouse(

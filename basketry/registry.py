@@ -443,7 +443,7 @@ def recommend_by_cluster(wh):
     labels = R.require_labels(_segment_labels(wh))
     carts = R.last_order_carts(wh).withColumn("space", F.lit("name"))
     popular = R.cluster_popularity(wh, labels, R.candidate_limit(5))
-    return R.recommend_by_cluster(carts, labels, popular, 5)
+    return R.recommend_by_cluster(carts, labels, popular, 5, wh.task_width)
 
 
 def hybrid_recommend(wh):

@@ -254,29 +254,24 @@ CTES = {
 
 
 def _itemsets(name: str, items: str, support: float) -> dict[str, str]:
-    """Frequent itemsets of up to four items, grown by self-joins of frequent items."""
+    """Frequent itemsets of any length: all subsets of frequent items, counted per set."""
     enough = f"CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM large_orders) >= {support}"
-    ctes = {f"{name}_f": f"""
-        SELECT * FROM {items} WHERE item IN
-            (SELECT item FROM {items} GROUP BY item HAVING {enough})"""}
-    levels = []
-    for size in range(1, 5):
-        sides = [f"t{i}" for i in range(size)]
-        joins = f"{name}_f t0" + "".join(
-            f" JOIN {name}_f {b} ON {b}.order_id = t0.order_id AND {a}.item < {b}.item"
-            for a, b in zip(sides, sides[1:], strict=False)
-        )
-        columns = ", ".join(f"{t}.item" for t in sides)
-        levels.append(
-            f"SELECT [{columns}] AS items, count(*) AS freq FROM {joins} "
-            f"GROUP BY {columns} HAVING {enough}"
-        )
-    ctes[name] = (
-        "SELECT items, freq, CAST(freq AS DOUBLE) / (SELECT count(*) FROM large_orders) "
-        "AS support, CAST(len(items) AS INTEGER) AS length FROM ("
-        + " UNION ALL ".join(levels) + ")"
-    )
-    return ctes
+    return {
+        f"{name}_f": f"""
+            SELECT order_id, item FROM {items} WHERE item IN
+                (SELECT item FROM {items} GROUP BY item HAVING {enough})""",
+        f"{name}_subsets": f"""
+            SELECT order_id, [item] AS items, item AS last FROM {name}_f
+            UNION ALL
+            SELECT s.order_id, list_append(s.items, f.item), f.item
+            FROM {name}_subsets s JOIN {name}_f f
+              ON f.order_id = s.order_id AND f.item > s.last""",
+        name: f"""
+            SELECT items, freq, CAST(freq AS DOUBLE) / (SELECT count(*) FROM large_orders)
+                       AS support, CAST(len(items) AS INTEGER) AS length
+            FROM (SELECT items, count(*) AS freq FROM {name}_subsets
+                  GROUP BY items HAVING {enough})""",
+    }
 
 
 def _rules(name: str, sets: str, confidence: float) -> dict[str, str]:
@@ -1071,8 +1066,8 @@ _QUERIES = {
 def _with(text: str) -> str:
     body = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
     if text.lstrip().startswith("WITH "):
-        return f"WITH {body},\n{text.lstrip()[5:]}"
-    return f"WITH {body}\n{text}"
+        return f"WITH RECURSIVE {body},\n{text.lstrip()[5:]}"
+    return f"WITH RECURSIVE {body}\n{text}"
 
 
 ORACLE = {name: _with(text) for name, text in _QUERIES.items()}

@@ -252,7 +252,8 @@ def _product_rules(wh):
 
 
 def _named_rules(wh):
-    return RU.rules_with_names(_product_rules(wh), RU.item_names(wh))
+    rules = RU.rules_with_names(_product_rules(wh), RU.item_names(wh))
+    return materialize(rules, "named-rules")
 
 
 def _rule_names(wh):

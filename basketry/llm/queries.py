@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontamination, line_dedup, ngram_join, quality, sentence_pieces, topk_search, url_filter
+from basketry.llm import (decontamination, license_scan, line_dedup, ngram_join, quality, secret_scan,
+                          sentence_pieces, token_counts, topk_search, url_filter)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +17,15 @@ def op1_line_dedup(spark, folder):
                         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def document_path():
+    """The tables hold no file paths: a document lies in a folder of its source and language."""
+    return F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+
+
+def op2_secret_scan(spark, folder):
+    return secret_scan.scan(table(spark, folder, "documents"), document_path())
+
+
 def op3_quality_classifier(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
     scored = quality.score(documents, quality.train(documents, table(spark, folder, "labels")))
@@ -47,10 +57,18 @@ def op7_url_filter(spark, folder):
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op8_token_counts(spark, folder):
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+def op9_license_scan(spark, folder):
+    return license_scan.scan(table(spark, folder, "documents"), document_path())
+
+
 def op10_ngram_join(spark, folder):
     return ngram_join.similar_components(table(spark, folder, "documents"))
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_line_dedup, op3_quality_classifier, op4_sentence_pieces, op5_decontamination, op6_topk_search,
-    op7_url_filter, op10_ngram_join)}
+    op1_line_dedup, op2_secret_scan, op3_quality_classifier, op4_sentence_pieces, op5_decontamination,
+    op6_topk_search, op7_url_filter, op8_token_counts, op9_license_scan, op10_ngram_join)}

@@ -9,13 +9,14 @@ import math
 
 import numpy as np
 
-from basketry.llm.common import GOLDEN, mix
+from basketry.llm.common import GOLDEN, MASK64, mix
 
 BITS_PER_KEY = 2.0
 
 
 def _places(a: np.ndarray, b: np.ndarray, level: int, size: int) -> np.ndarray:
-    return mix(a ^ mix(b + np.uint64(level) * GOLDEN)) % np.uint64(size)
+    step = np.uint64(level * int(GOLDEN) & MASK64)
+    return mix(a ^ mix(b + step)) % np.uint64(size)
 
 
 def build(a: np.ndarray, b: np.ndarray) -> tuple[list[int], np.ndarray]:

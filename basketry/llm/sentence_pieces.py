@@ -136,7 +136,7 @@ class Pieces:
 
     def states(self, text: str, at: int) -> list[tuple[int, int, int]]:
         """(token, begin, end) of all tokens over or up to a boundary, places relative to it."""
-        return [(token, begin - at, end - at) for begin in range(max(0, at - self.longest + 1), at)
+        return [(token, begin - at, end - at) for begin in range(max(0, at - self.longest), at)
                 for token, end in self.tokens_at(text, begin) if end >= at]
 
     def cuts(self, text: str, low: int, high: int) -> tuple[int, int] | None:

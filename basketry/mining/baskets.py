@@ -10,19 +10,19 @@ from basketry.functions.ranking import seeded_sample
 from basketry.session import materialize
 
 DEFAULT_SEED = 42
-DEFAULT_TOP_ITEMS = 2_000
 # Largest item list that is broadcast; longer lists are joined by a shuffle.
 BROADCAST_ITEMS = 100_000
 
 
 @dataclass(frozen=True)
 class Baskets:
-    """Mined baskets: ``frame`` holds (order_id, items) with at most ``top_items`` items
-    each; ``count`` is the denominator of every support, emptied baskets included."""
+    """Mined baskets: ``frame`` holds (order_id, items), each cut to the ``top_items`` leading
+    items if that is a number; ``count`` is the denominator of every support, emptied baskets
+    included."""
 
     frame: DataFrame
     count: int
-    top_items: int
+    top_items: int | None
     min_items: int
 
 
@@ -79,7 +79,7 @@ def _kept_lines(lines: DataFrame, min_items: int) -> DataFrame:
     return lines.select("order_id", "item").distinct()
 
 
-def top_items(lines: DataFrame, n: int = DEFAULT_TOP_ITEMS, min_items: int = 2) -> DataFrame:
+def top_items(lines: DataFrame, n: int, min_items: int = 2) -> DataFrame:
     """The ``n`` items found in most baskets; ties go to the smaller text."""
     if n <= 0:
         raise ValueError("top_n must be positive")
@@ -111,17 +111,32 @@ def prune_baskets(
     )
 
 
+def whole_baskets(lines: DataFrame, min_items: int = 2, width: int | None = None) -> DataFrame:
+    """(order_id, items) with all distinct items, sorted, after one shuffle by order."""
+    width = width or lines.sparkSession.sparkContext.defaultParallelism
+    return (
+        lines.repartition(width, "order_id").groupBy("order_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.collect_set("item").alias("items"))
+        .where(F.col("n") >= min_items)
+        .select("order_id", F.array_sort("items").alias("items"))
+    )
+
+
 def prepare_baskets(
-    lines: DataFrame, *, top_n: int = DEFAULT_TOP_ITEMS, min_items: int = 2,
-    width: int | None = None,
+    lines: DataFrame, *, top_n: int | None = None, min_items: int = 2, width: int | None = None,
 ) -> Baskets:
-    """Pruned baskets on shared storage, with their exact number."""
+    """Baskets on shared storage, with their exact number: whole ones, or pruned to the
+    ``top_n`` leading items."""
     if min_items < 1:
         raise ValueError("min_items must be at least 1")
-    top = materialize(top_items(lines, top_n, min_items), "top-items")
-    if top_n <= BROADCAST_ITEMS:
-        top = F.broadcast(top)
-    frame = materialize(prune_baskets(lines, top, min_items, width), "baskets")
+    if top_n is None:
+        frame = whole_baskets(lines, min_items, width)
+    else:
+        top = materialize(top_items(lines, top_n, min_items), "top-items")
+        if top_n <= BROADCAST_ITEMS:
+            top = F.broadcast(top)
+        frame = prune_baskets(lines, top, min_items, width)
+    frame = materialize(frame, "baskets")
     count = frame.count()
     if not count:
         raise BasketDataError(f"No baskets satisfy min_items={min_items}")

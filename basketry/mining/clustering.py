@@ -16,8 +16,6 @@ from basketry.mining.features import FEATURES, SCALED, require_features, standar
 from basketry.session import materialize, small_broadcast
 
 DEFAULT_SEED = 42
-SILHOUETTE_SAMPLE = 10_000
-PLOT_POINTS = 20_000
 # A silhouette task compares two blocks of about this many rows.
 BLOCK_ROWS = 2_500
 # Cluster tables up to this many rows are broadcast.
@@ -142,8 +140,41 @@ def silhouette(rows: DataFrame, count: int) -> DataFrame:
     return scores.agg(F.avg(score).alias("silhouette"))
 
 
+def squared_silhouette(labelled: DataFrame) -> DataFrame:
+    """Mean silhouette over squared distances of all rows, as one row, in linear time.
+
+    The mean squared distance from a row x to a cluster follows from the cluster's count n,
+    sum s and sum of squares q as |x|^2 - 2 x.s / n + q / n; inside the own cluster n - 1 rows
+    share the sum. A cluster of one row scores 0. Only the clusters' figures reach the driver;
+    every row is then scored where it lies.
+    """
+    square = sum(F.col(name) ** 2 for name in SCALED)
+    clusters = labelled.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"),
+        F.array(*[F.sum(name) for name in SCALED]).alias("sums"),
+    ).orderBy("cluster").collect()
+    if not 2 <= len(clusters) < sum(row.n for row in clusters):
+        raise ClusteringDataError("Silhouette needs between 2 and number_of_rows - 1 clusters")
+
+    def total(row):
+        """What a row's squared distances to a cluster add up to; rounding may leave a hair
+        below zero."""
+        product = sum(F.col(name) * value for name, value in zip(SCALED, row.sums, strict=True))
+        return F.greatest(row.n * square - 2 * product + row.q, F.lit(0.0))
+
+    own = [F.col("cluster") == row.cluster for row in clusters]
+    a = F.coalesce(*[F.when(mine, total(row) / (row.n - 1) if row.n > 1 else None)
+                     for mine, row in zip(own, clusters, strict=True)])
+    b = F.array_min(F.array(*[F.when(~mine, total(row) / row.n)
+                              for mine, row in zip(own, clusters, strict=True)]))
+    scores = labelled.select(a.alias("a"), b.alias("b"))
+    wider = F.greatest("a", "b")
+    score = F.when(F.col("a").isNotNull() & (wider > 0), (F.col("b") - F.col("a")) / wider)
+    return scores.agg(F.avg(F.coalesce(score, F.lit(0.0))).alias("silhouette"))
+
+
 def silhouette_rows(
-    labelled: DataFrame, sample_size: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED
+    labelled: DataFrame, sample_size: int, seed: int = DEFAULT_SEED
 ) -> tuple[DataFrame, int]:
     """The rows to score: one of every cluster, then a reproducible fill up to the bound."""
     if sample_size < 2:
@@ -169,8 +200,9 @@ def silhouette_rows(
 
 
 def bounded_silhouette(
-    labelled: DataFrame, sample_size: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED
+    labelled: DataFrame, sample_size: int, seed: int = DEFAULT_SEED
 ) -> DataFrame:
+    """Mean Euclidean silhouette of a sample of rows; the sample is the point of it."""
     rows, count = silhouette_rows(labelled, sample_size, seed)
     return silhouette(rows, count)
 
@@ -204,10 +236,10 @@ def davies_bouldin(labelled: DataFrame) -> float:
 
 
 def select_k(
-    scaled: DataFrame, count: int, *, max_k: int = 10, seed: int = DEFAULT_SEED,
-    sample_size: int = SILHOUETTE_SAMPLE, n_init: int = 10,
+    scaled: DataFrame, count: int, *, max_k: int = 10, seed: int = DEFAULT_SEED, n_init: int = 10,
 ) -> list[dict]:
-    """(k, inertia, silhouette, selected) per candidate; the first best score wins."""
+    """(k, inertia, silhouette, selected) per candidate; the first best score wins. All rows
+    are scored, by squared distances."""
     if count < 3:
         raise ClusteringDataError("At least three rows are required to select K")
     largest = min(max_k, count - 1)
@@ -216,7 +248,7 @@ def select_k(
     scores = []
     for k in range(2, largest + 1):
         fit = fit_kmeans(scaled, k, seed, n_init)
-        score = bounded_silhouette(fit.frame, sample_size, seed).first()["silhouette"]
+        score = squared_silhouette(fit.frame).first()["silhouette"]
         scores.append({"k": k, "inertia": fit.inertia, "silhouette": score})
     best = max(scores, key=lambda row: (row["silhouette"], -row["k"]))
     return [{**row, "selected": row is best} for row in scores]
@@ -254,18 +286,15 @@ class Projection:
     explained: tuple[float, float]
 
 
-def pca_2d(
-    labelled: DataFrame, count: int, *, max_points: int = PLOT_POINTS, seed: int = DEFAULT_SEED
-) -> Projection:
-    """(user_id, cluster, pc1, pc2) of a bounded set of rows, and the explained variance.
+def pca_2d(labelled: DataFrame) -> Projection:
+    """(user_id, cluster, pc1, pc2) of every row, and the explained variance.
 
     The sign of a component is fixed by its largest loading.
     """
     model = PCA(k=2, inputCol="features", outputCol="projected").fit(_assembled(labelled))
     loadings = model.pc.toArray()
     axes = [axis * np.sign(axis[np.argmax(np.abs(axis))]) for axis in loadings.T]
-    kept = labelled if count <= max_points else seeded_sample(labelled, "user_id", max_points, seed)
-    points = kept.select(
+    points = labelled.select(
         "user_id", "cluster",
         *[sum(F.col(name) * float(weight) for name, weight in zip(SCALED, axis, strict=True))
           .alias(f"pc{place}") for place, axis in enumerate(axes, start=1)],
@@ -274,8 +303,7 @@ def pca_2d(
 
 
 def train(
-    features: DataFrame, k: int, *, seed: int = DEFAULT_SEED,
-    sample_size: int = SILHOUETTE_SAMPLE, n_init: int = 10,
+    features: DataFrame, k: int, *, seed: int = DEFAULT_SEED, n_init: int = 10,
 ) -> tuple[Fit, dict]:
     """Fit the chosen K on the features; returns the fit and its three scores."""
     count = require_features(features)
@@ -285,7 +313,7 @@ def train(
     fit = fit_kmeans(scaled, k, seed, n_init)
     fit = replace(fit, frame=materialize(fit.frame, "clusters"))
     return fit, {
-        "silhouette": bounded_silhouette(fit.frame, sample_size, seed).first()["silhouette"],
+        "silhouette": squared_silhouette(fit.frame).first()["silhouette"],
         "davies_bouldin": davies_bouldin(fit.frame),
         "inertia": fit.inertia,
     }
@@ -293,7 +321,7 @@ def train(
 
 def clustering_run(
     wh_features: DataFrame, *, k: int | None = None, max_k: int = 10, min_orders: int = 3,
-    seed: int = DEFAULT_SEED, sample_size: int = SILHOUETTE_SAMPLE, n_init: int = 10,
+    seed: int = DEFAULT_SEED, n_init: int = 10,
 ) -> tuple[Fit, dict]:
     """The whole job: choose K unless given, fit, score; returns the fit and run metadata."""
     features = materialize(wh_features, "features")
@@ -301,17 +329,14 @@ def clustering_run(
     selection = []
     if k is None or max_k >= 2:
         scaled = materialize(standardize(features), "scaled-features")
-        selection = select_k(
-            scaled, count, max_k=max_k, seed=seed, sample_size=sample_size, n_init=n_init
-        )
+        selection = select_k(scaled, count, max_k=max_k, seed=seed, n_init=n_init)
     chosen = k if k is not None else next(row["k"] for row in selection if row["selected"])
-    fit, metrics = train(features, chosen, seed=seed, sample_size=sample_size, n_init=n_init)
+    fit, metrics = train(features, chosen, seed=seed, n_init=n_init)
     return fit, {
         "feature_columns": list(FEATURES),
         "min_orders": min_orders,
         "n_users": count,
         "random_state": seed,
-        "silhouette_sample_size": min(sample_size, count),
         "selected_k": chosen,
         "selected_k_source": "override" if k is not None else "silhouette",
         "selection": selection,

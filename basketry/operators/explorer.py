@@ -9,8 +9,9 @@ from basketry.schemas import PARTITION_COLUMN, TABLE_KIND, TABLES
 
 
 def table_sample(wh: Warehouse, table: str, limit: int = 10) -> DataFrame:
-    """A few rows of a known table."""
-    return wh.table(table).limit(bounded(limit, MAX_ROWS))
+    """The first rows of a known table, by its columns in order, so that it can be repeated."""
+    bounded(limit, MAX_ROWS)
+    return wh.table(table).orderBy(*TABLES[table].fieldNames()).limit(limit)
 
 
 def table_catalog(wh: Warehouse) -> DataFrame:
@@ -24,11 +25,14 @@ def table_catalog(wh: Warehouse) -> DataFrame:
 
 
 def table_columns(wh: Warehouse, table: str) -> DataFrame:
-    """Column name, type and nullability as stored."""
-    return wh.spark.createDataFrame(
-        [(f.name, f.dataType.simpleString(), f.nullable) for f in wh.table(table).schema],
-        "column_name string, data_type string, nullable boolean",
-    )
+    """Column name, type, nullability and the number of values that are there."""
+    schema = wh.table(table).schema
+    held = wh.table(table).agg(*[F.count(f.name).alias(f.name) for f in schema])
+    return held.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.lit(f.nullable).alias("nullable"), F.col(f.name).alias("value_count"))
+        for f in schema
+    ])))
 
 
 def table_partitions(wh: Warehouse, table: str) -> DataFrame:

@@ -151,20 +151,21 @@ def products(wh, limit: int = 20, department: str | None = None) -> DataFrame:
     (order, product) is unique, so a product's lines are its orders.
     """
     bounded(limit, MAX_ROWS)
+    return ranked_products(wh, department).limit(limit)
+
+
+def ranked_products(wh, department: str | None = None) -> DataFrame:
+    """All sold products, those with the most orders first."""
     rows = catalogued(product_sales(wh), wh, "department", "aisle")
     if department:
         rows = rows.where(F.lower(F.trim("department_name")) == department.strip().lower())
-    return (
-        rows.orderBy(F.desc("items"), "product_id")
-        .limit(limit)
-        .select(
-            "product_name",
-            "department_name",
-            "aisle_name",
-            F.col("items").alias("orders"),
-            F.col("items").alias("total_items"),
-            share(F.col("reordered_items"), F.col("items")).alias("reorder_rate_pct"),
-        )
+    return rows.orderBy(F.desc("items"), "product_id").select(
+        "product_name",
+        "department_name",
+        "aisle_name",
+        F.col("items").alias("orders"),
+        F.col("items").alias("total_items"),
+        share(F.col("reordered_items"), F.col("items")).alias("reorder_rate_pct"),
     )
 
 

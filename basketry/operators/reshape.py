@@ -136,8 +136,8 @@ def contains_text(column, term: str):
 
 
 def search_products(wh, term: str, n: int = 15, department: str | None = None) -> DataFrame:
-    """Matches among the 100 leading products, in ranking order."""
-    ranking = kpis.products(wh, kpis.MAX_ROWS, department)
+    """The ``n`` leading matches of the whole catalogue, in ranking order."""
+    ranking = kpis.ranked_products(wh, department)
     term = term.strip()
     if term:
         ranking = ranking.where(contains_text(F.col("product_name"), term))

@@ -4,10 +4,10 @@ from basketry.functions.labels import AISLE_RULES, DEPARTMENT_RULES, SEGMENT_ORD
 from basketry.mining.features import FEATURES
 from basketry.operators.analysis import SUMMARY
 from basketry.registry import (
-    AISLE_CONFIDENCE, AISLE_SUPPORT, MIN_AISLE_ITEMS, MIN_PURCHASES, PRODUCT_CONFIDENCE,
-    PRODUCT_SUPPORT,
+    AISLE_CONFIDENCE, AISLE_SHARE_PCT, AISLE_SUPPORT, POPULAR, PRODUCT_CONFIDENCE,
+    PRODUCT_MIN_COUNT,
 )
-from basketry.schemas import TABLE_KIND
+from basketry.schemas import TABLE_KIND, TABLES
 from basketry.sources.order_tables import AISLE_NAMES, DEPARTMENT_OF_TYPE
 
 
@@ -193,7 +193,7 @@ CTES = {
     "kpi_aisles": f"""
         SELECT aisle_name, {share('sum(reordered)', 'count(*)')} AS reorder_rate_pct,
                count(*) AS items
-        FROM sold GROUP BY aisle_id, aisle_name HAVING count(*) >= {MIN_AISLE_ITEMS}
+        FROM sold GROUP BY aisle_id, aisle_name HAVING count(*) >= (SELECT count(*) * {AISLE_SHARE_PCT} // 100 FROM fact_order_details)
         ORDER BY reorder_rate_pct DESC, items DESC, aisle_id LIMIT 15""",
     "kpi_segments": f"""
         SELECT user_segment, count(*) AS users,
@@ -244,18 +244,12 @@ CTES = {
     "product_items": """
         SELECT d.order_id, d.item
         FROM (SELECT order_id, CAST(product_id AS VARCHAR) AS item FROM fact_order_details) d
-        WHERE d.order_id IN (SELECT order_id FROM large_orders)
-          AND d.item IN (SELECT item FROM (
-                SELECT CAST(product_id AS VARCHAR) AS item, count(*) AS n
-                FROM fact_order_details
-                WHERE order_id IN (SELECT order_id FROM large_orders)
-                GROUP BY item ORDER BY n DESC, item LIMIT 2000))""",
+        WHERE d.order_id IN (SELECT order_id FROM large_orders)""",
 }
 
 
-def _itemsets(name: str, items: str, support: float) -> dict[str, str]:
+def _itemsets(name: str, items: str, enough: str) -> dict[str, str]:
     """Frequent itemsets of any length: all subsets of frequent items, counted per set."""
-    enough = f"CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM large_orders) >= {support}"
     return {
         f"{name}_f": f"""
             SELECT order_id, item FROM {items} WHERE item IN
@@ -291,8 +285,10 @@ def _rules(name: str, sets: str, confidence: float) -> dict[str, str]:
         WHERE s.support / l.support >= {confidence}"""}
 
 
-CTES |= _itemsets("aisle_sets", "aisle_items", AISLE_SUPPORT)
-CTES |= _itemsets("product_sets", "product_items", PRODUCT_SUPPORT)
+CTES |= _itemsets(
+    "aisle_sets", "aisle_items",
+    f"CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM large_orders) >= {AISLE_SUPPORT}")
+CTES |= _itemsets("product_sets", "product_items", f"count(*) >= {PRODUCT_MIN_COUNT}")
 CTES |= _rules("aisle_rules", "aisle_sets", AISLE_CONFIDENCE)
 CTES |= _rules("product_rules", "product_sets", PRODUCT_CONFIDENCE)
 
@@ -362,13 +358,13 @@ def _rule_ranking(carts: str, n: int) -> str:
         WHERE place <= {n}"""
 
 
-def _cluster_ranking(limit: int, n: int) -> str:
+def _cluster_ranking(n: int) -> str:
     return f"""
         SELECT cart_id, item, CAST(place AS INTEGER) AS place FROM (
             SELECT k.user_id AS cart_id, p.product_name AS item,
                    row_number() OVER (PARTITION BY k.user_id ORDER BY p.place) AS place
             FROM carts k JOIN labels l USING (user_id)
-            JOIN popularity p ON p.cluster = l.cluster AND p.place <= {limit}
+            JOIN popularity p ON p.cluster = l.cluster
             WHERE NOT list_contains(k.names, p.product_name))
         WHERE place <= {n}"""
 
@@ -376,7 +372,7 @@ def _cluster_ranking(limit: int, n: int) -> str:
 CTES |= {
     "name_carts": "SELECT user_id AS cart_id, names AS items, 'name' AS space FROM carts",
     "fusion_rules": _rule_ranking("name_carts", 30),
-    "fusion_clusters": _cluster_ranking(300, 30),
+    "fusion_clusters": _cluster_ranking(30),
 }
 
 
@@ -689,7 +685,8 @@ _QUERIES = {
         for name in ("dim_time", "dim_department", "dim_aisle", "dim_product", "dim_user")),
     "export_csv": "SELECT department_name, orders, total_items, market_share_pct "
                   "FROM kpi_departments",
-    "dim_time": "SELECT * FROM dim_time",
+    "dim_time": "SELECT t.*, (SELECT count(*) FROM fact_orders o WHERE o.time_id = t.time_id) "
+                "AS orders FROM dim_time t",
     "dim_department": "SELECT * FROM dim_department",
     "dim_aisle": "SELECT * FROM dim_aisle",
     "dim_product": "SELECT * FROM dim_product",
@@ -705,8 +702,24 @@ _QUERIES = {
                {_BAND.format(*_CLOSED, "'30+ items'")} AS short_label,
                {_BAND.format(*_CLOSED, "'31+ items'")} AS long_label, count(*) AS orders
         FROM fact_orders GROUP BY ALL""",
+    "table_sample": "SELECT * EXCLUDE (ratio_units, gap_units) FROM fact_orders "
+                    "ORDER BY order_id LIMIT 10",
     "day_types": "SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type, "
-                 "count(*) AS buckets FROM dim_time GROUP BY day_type",
+                 "CAST(count(*) AS BIGINT) AS orders FROM fact_orders JOIN dim_time USING (time_id) "
+                 "GROUP BY day_type",
+    "run_report": """
+        SELECT 'dimensions' AS stage, (SELECT count(*) FROM dim_department)
+            + (SELECT count(*) FROM dim_aisle) + (SELECT count(*) FROM dim_product) AS stage_rows
+        UNION ALL SELECT 'order_details', (SELECT count(*) FROM fact_order_details)
+        UNION ALL SELECT 'orders', (SELECT count(*) FROM fact_orders)
+        UNION ALL SELECT 'derived_metrics', (SELECT count(*) FROM dim_user)""",
+    "refresh_statistics": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count"
+        for name in TABLES),
+    "table_columns": " UNION ALL ".join(
+        f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+        f"true AS nullable, (SELECT count({f.name}) FROM fact_orders) AS value_count"
+        for f in TABLES["fact_orders"]),
     "cluster_names": """
         SELECT CASE WHEN total_orders >= 50 THEN 'VIP Customers'
                     WHEN total_orders >= 20 THEN 'Frequent Shoppers'
@@ -803,7 +816,7 @@ _QUERIES = {
                CAST(sum(reordered) AS BIGINT) AS reordered_items,
                {pct('sum(reordered)', 'count(*)')} AS reorder_rate_pct
         FROM sold GROUP BY aisle_id, aisle_name, aisle_type
-        HAVING count(*) >= {MIN_AISLE_ITEMS}
+        HAVING count(*) >= (SELECT count(*) * {AISLE_SHARE_PCT} // 100 FROM fact_order_details)
         ORDER BY reorder_rate_pct DESC, aisle_id LIMIT 20""",
     "basket_size_distribution": f"""
         SELECT {_BAND.format(*_CLOSED, "'30+ items'")} AS basket_size_group,
@@ -833,7 +846,7 @@ _QUERIES = {
                count(*) FILTER (reordered = 1) AS reorder_purchases,
                {pct('sum(reordered)', 'count(*)')} AS reorder_rate_pct
         FROM sold GROUP BY product_id, product_name, department_name, aisle_name
-        HAVING count(*) >= {MIN_PURCHASES}
+        HAVING count(*) >= (SELECT count(*) // count(DISTINCT product_id) FROM fact_order_details)
         ORDER BY reorder_rate_pct DESC, product_id LIMIT 30""",
     "sunday_orders": f"""
         SELECT order_dow, dow_name, count(DISTINCT order_id) AS total_orders,
@@ -904,8 +917,7 @@ _QUERIES = {
         FROM kpi_weekend""",
     "extremes": _extremes(),
     "search_products": """
-        SELECT * EXCLUDE (product_id) FROM (
-            SELECT * FROM kpi_products ORDER BY orders DESC, product_id LIMIT 100)
+        SELECT * EXCLUDE (product_id) FROM kpi_products
         WHERE contains(lower(product_name), 'gizmo')
         ORDER BY orders DESC, product_id LIMIT 15""",
     "largest_departments": "SELECT * FROM kpi_departments "
@@ -968,8 +980,8 @@ _QUERIES = {
         SELECT 'full' AS mode, CAST(42 AS INTEGER) AS random_state,
                CAST(2 AS INTEGER) AS min_items,
                (SELECT count(*) FROM large_orders) AS transactions,
-               CAST(2000 AS INTEGER) AS top_products,
-               CAST({PRODUCT_SUPPORT} AS DOUBLE) AS min_support,
+               CAST(NULL AS INTEGER) AS top_products,
+               CAST({PRODUCT_MIN_COUNT} AS INTEGER) AS min_count,
                CAST({PRODUCT_CONFIDENCE} AS DOUBLE) AS min_confidence,
                (SELECT count(*) FROM product_sets) AS frequent_itemsets,
                (SELECT count(*) FROM product_sets WHERE length = 1) AS frequent_items,
@@ -998,7 +1010,7 @@ _QUERIES = {
                      max(total / nullif(n - 1, 0)) FILTER (own) AS a,
                      min(total / n) FILTER (NOT own) AS b
               FROM (SELECT a.user_id, a.cluster = b.cluster AS own, b.cluster AS other,
-                           count(*) AS n, sum({_DISTANCE}) AS total
+                           count(*) AS n, sum(pow({_DISTANCE}, 2)) AS total
                     FROM scaled a, scaled b GROUP BY a.user_id, a.cluster = b.cluster, b.cluster)
               GROUP BY user_id)""",
     "davies_bouldin_of_segments": f"""
@@ -1040,8 +1052,8 @@ _QUERIES = {
     "load_cluster_labels": "SELECT user_id, cluster FROM labels",
     "resolve_item_space": "SELECT cart_id, space FROM mixed_carts",
     "recommend_by_rules": _rule_ranking("mixed_carts", 5),
-    "cluster_popularity": "SELECT * FROM popularity WHERE place <= 50",
-    "recommend_by_cluster": _cluster_ranking(50, 5),
+    "cluster_popularity": f"SELECT * FROM popularity WHERE place <= {POPULAR}",
+    "recommend_by_cluster": _cluster_ranking(5),
     "hybrid_recommend": """
         SELECT cart_id, item, score, CAST(place AS INTEGER) AS place FROM (
             SELECT *, row_number() OVER (PARTITION BY cart_id ORDER BY score DESC, item) AS place

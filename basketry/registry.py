@@ -23,16 +23,16 @@ from basketry.schemas import PARTITION_COLUMN, SOURCES, TABLES
 from basketry.session import materialize, work_folder
 from basketry.sources import artifacts, files
 
-# Thresholds that fit tables of any size: shares, or counts well inside the test tables.
+# Thresholds that fit tables of any size. Aisles are few, so shares of all baskets hold; with the
+# catalogue every single product's share shrinks, so products need a count.
 AISLE_SUPPORT = 0.002
 AISLE_CONFIDENCE = 0.15
-PRODUCT_SUPPORT = 0.0002
+PRODUCT_MIN_COUNT = 2
 PRODUCT_CONFIDENCE = 0.05
-MIN_AISLE_ITEMS = 2_000
-MIN_PURCHASES = 30
-# K-Means restarts and candidates of the registered runs.
-RUNS = 2
-MAX_K = 4
+# Percent of all lines that a ranked aisle has at least.
+AISLE_SHARE_PCT = 3
+# Candidates that the popularity report lists per cluster.
+POPULAR = 50
 
 _SCORES = ("silhouette", "davies_bouldin", "inertia")
 
@@ -78,7 +78,7 @@ def read_sources(spark, folder):
     for name, df in open_mart(spark, folder).sources.items():
         artifacts.export_csv(df, paths[name])
     sources = files.read_sources(spark, target)
-    contracts.enforce(sources["orders"], "orders", contracts.CONTRACTS["orders"])
+    contracts.enforce_sources(sources)
     return reduce(DataFrame.unionAll, [
         sources[name].agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(name).alias("dataset"), "row_count") for name in SOURCES
@@ -134,7 +134,16 @@ def resolve_detail_time_ids(spark, folder):
 
 
 def run_report(spark, folder):
-    return pipeline.run_report(spark, open_mart(spark, folder).root)
+    """Stages and rows of the load; its times differ from run to run."""
+    report = pipeline.run_report(spark, open_mart(spark, folder).root)
+    return report.where("status = 'succeeded'").select("stage", "stage_rows")
+
+
+def dim_time(wh):
+    """The calendar with the orders of every hour."""
+    orders = wh.fact_orders.groupBy("time_id").agg(F.count(F.lit(1)).alias("n"))
+    return wh.dim_time.join(F.broadcast(orders), "time_id", "left").withColumn(
+        "orders", F.coalesce("n", F.lit(0))).drop("n")
 
 
 def _order_metrics(wh):
@@ -151,9 +160,21 @@ def _basket_bands(wh):
 
 
 def _day_types(wh):
-    return wh.dim_time.groupBy(L.day_type(F.col("is_weekend")).alias("day_type")).agg(
-        F.count(F.lit(1)).alias("buckets")
-    )
+    orders = wh.fact_orders.groupBy("time_id").agg(F.count(F.lit(1)).alias("n"))
+    return orders.join(wh.dim_time, "time_id").groupBy(
+        L.day_type(F.col("is_weekend")).alias("day_type")
+    ).agg(F.sum("n").alias("orders"))
+
+
+def _aisle_minimum(wh):
+    return wh.fact_order_details.count() * AISLE_SHARE_PCT // 100
+
+
+def _purchase_minimum(wh):
+    """The mean number of lines per sold product."""
+    row = wh.fact_order_details.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("lines"), F.count(F.lit(1)).alias("products")).first()
+    return (row["lines"] or 0) // max(row["products"], 1)
 
 
 def _cluster_names(wh):
@@ -233,8 +254,13 @@ def _aisle_itemsets(wh, mine=I.frequent_itemsets):
     return mine(_baskets(wh, "aisle"), AISLE_SUPPORT)
 
 
-def _product_itemsets(wh, mine=I.frequent_itemsets):
-    return mine(_baskets(wh, "product"), PRODUCT_SUPPORT)
+def _mined_products(wh, mine=I.frequent_itemsets):
+    baskets = _baskets(wh, "product")
+    return baskets, mine(baskets, min(1.0, PRODUCT_MIN_COUNT / baskets.count))
+
+
+def _product_itemsets(wh):
+    return _mined_products(wh)[1]
 
 
 def _itemset_rows(itemsets):
@@ -317,8 +343,7 @@ def itemset_json_forms(spark, folder):
 
 def basket_run(wh):
     """Settings and sizes of one mining run."""
-    baskets = _baskets(wh, "product")
-    itemsets = I.frequent_itemsets(baskets, PRODUCT_SUPPORT)
+    baskets, itemsets = _mined_products(wh)
     rules = RU.generate_rules(itemsets, min_threshold=PRODUCT_CONFIDENCE)
     sizes = itemsets.agg(
         F.count(F.lit(1)).alias("frequent_itemsets"),
@@ -328,8 +353,8 @@ def basket_run(wh):
         F.lit("full").alias("mode"), F.lit(B.DEFAULT_SEED).alias("random_state"),
         F.lit(baskets.min_items).alias("min_items"),
         F.lit(baskets.count).cast("bigint").alias("transactions"),
-        F.lit(baskets.top_items).alias("top_products"),
-        F.lit(PRODUCT_SUPPORT).alias("min_support"),
+        F.lit(baskets.top_items).cast("int").alias("top_products"),
+        F.lit(PRODUCT_MIN_COUNT).alias("min_count"),
         F.lit(PRODUCT_CONFIDENCE).alias("min_confidence"), "*",
     )
 
@@ -350,7 +375,7 @@ def _segmented(wh):
 
 
 def _silhouette_given(wh):
-    return rounded(C.bounded_silhouette(_segmented(wh)), 6)
+    return rounded(C.squared_silhouette(_segmented(wh)), 6)
 
 
 def _davies_bouldin_given(spark, folder):
@@ -366,7 +391,7 @@ def _inertia_given(wh):
 
 
 def _trained(wh, k=3):
-    return C.train(FE.user_features(wh), k, n_init=RUNS)
+    return C.train(FE.user_features(wh), k)
 
 
 def fit_kmeans(wh):
@@ -382,7 +407,7 @@ def cluster_metrics(spark, folder):
 def clustering_run(spark, folder):
     """Candidates of K with their scores, and the chosen one."""
     features = FE.user_features(open_mart(spark, folder).warehouse)
-    _, run = C.clustering_run(features, max_k=MAX_K, n_init=RUNS)
+    _, run = C.clustering_run(features)
     rows = [
         (run["n_users"], run["random_state"], run["selected_k"], run["selected_k_source"],
          row["k"], row["inertia"], row["silhouette"], row["selected"])
@@ -395,8 +420,15 @@ def clustering_run(spark, folder):
 
 
 def pca_points(wh):
-    fit, _ = _trained(wh)
-    return C.pca_2d(fit.frame, fit.frame.count()).points
+    return C.pca_2d(_trained(wh)[0].frame).points
+
+
+def pca_variance(spark, folder):
+    """The share of all variance that each component explains."""
+    explained = C.pca_2d(_segmented(open_mart(spark, folder).warehouse)).explained
+    return spark.createDataFrame(
+        [(f"pc{place}", share) for place, share in enumerate(explained, start=1)],
+        "component string, explained_variance_ratio double")
 
 
 def sampled_silhouette(wh):
@@ -437,13 +469,13 @@ def recommend_by_rules(wh):
 
 
 def cluster_popularity(wh):
-    return R.cluster_popularity(wh, _segment_labels(wh), R.candidate_limit(5))
+    return R.cluster_popularity(wh, _segment_labels(wh), POPULAR)
 
 
 def recommend_by_cluster(wh):
     labels = R.require_labels(_segment_labels(wh))
     carts = R.last_order_carts(wh).withColumn("space", F.lit("name"))
-    popular = R.cluster_popularity(wh, labels, R.candidate_limit(5))
+    popular = R.cluster_popularity(wh, labels, R.candidate_limit(wh, carts, 5))
     return R.recommend_by_cluster(carts, labels, popular, 5, wh.task_width)
 
 
@@ -478,7 +510,8 @@ QUERIES = {
     "write_dimension": write_dimension,
     "run_report": run_report,
     "export_csv": export_csv,
-    **{name: _table(name) for name in TABLES},
+    **{name: _table(name) for name in TABLES if name != "dim_time"},
+    "dim_time": _warehouse(dim_time),
     "resolve_detail_time_ids": resolve_detail_time_ids,
     "order_metrics": _warehouse(_order_metrics),
     "basket_bands": _warehouse(_basket_bands),
@@ -492,7 +525,8 @@ QUERIES = {
     "table_profile": _warehouse(lambda wh: explorer.table_partitions(wh, "fact_orders")),
     "detail_partitions": _warehouse(lambda wh: explorer.table_partitions(wh, "fact_order_details")),
     "readiness_check": _warehouse(explorer.readiness_check),
-    "refresh_statistics": _warehouse(explorer.refresh_statistics),
+    "refresh_statistics": _warehouse(
+        lambda wh: explorer.refresh_statistics(wh).drop("size_bytes")),
     # contracts
     "source_violations": lambda spark, folder: contracts.source_violations(
         open_mart(spark, folder).sources),
@@ -512,11 +546,11 @@ QUERIES = {
     "day_of_week": _warehouse(analysis.day_of_week),
     "department_performance": _warehouse(analysis.department_performance),
     "customer_segmentation": _warehouse(analysis.customer_segmentation),
-    "aisle_reorder": _warehouse(lambda wh: analysis.aisle_reorder(wh, MIN_AISLE_ITEMS)),
+    "aisle_reorder": _warehouse(lambda wh: analysis.aisle_reorder(wh, _aisle_minimum(wh))),
     "basket_size_distribution": _warehouse(analysis.basket_size_distribution),
     "weekend_vs_weekday": _warehouse(analysis.weekend_vs_weekday),
     "product_reorder_patterns": _warehouse(
-        lambda wh: analysis.product_reorder_patterns(wh, MIN_PURCHASES)),
+        lambda wh: analysis.product_reorder_patterns(wh, _purchase_minimum(wh))),
     "sunday_orders": _warehouse(analysis.sunday_orders),
     "weekend_counts": _warehouse(analysis.weekend_counts),
     "all_day_counts": _warehouse(analysis.all_day_counts),
@@ -530,7 +564,7 @@ QUERIES = {
     "departments": _warehouse(kpis.departments),
     "products": _warehouse(kpis.products),
     "products_in_department": _warehouse(lambda wh: kpis.products(wh, 100, " Dairy EGGS ")),
-    "aisles": _warehouse(lambda wh: kpis.aisles(wh, min_items=MIN_AISLE_ITEMS)),
+    "aisles": _warehouse(lambda wh: kpis.aisles(wh, min_items=_aisle_minimum(wh))),
     "customer_segments": _warehouse(kpis.customer_segments),
     "basket_distribution": _warehouse(kpis.basket_distribution),
     # page-level reshaping
@@ -546,7 +580,7 @@ QUERIES = {
         lambda wh: reshape.segment_share_long(kpis.customer_segments(wh))),
     "weekend_lift": _warehouse(
         lambda wh: rounded(reshape.weekend_lift(kpis.weekend_comparison(wh)))),
-    "extremes": _warehouse(lambda wh: reshape.extremes(wh, MIN_AISLE_ITEMS)),
+    "extremes": _warehouse(lambda wh: reshape.extremes(wh, _aisle_minimum(wh))),
     "search_products": _warehouse(lambda wh: reshape.search_products(wh, " GIZMO")),
     "largest_departments": _warehouse(
         lambda wh: reshape.largest_departments(kpis.departments(wh), 4)),
@@ -586,6 +620,7 @@ QUERIES = {
     "profile_clusters": _warehouse(lambda wh: C.profile_clusters(_trained(wh)[0].frame)),
     "bounded_silhouette": _warehouse(sampled_silhouette),
     "pca_2d": _warehouse(pca_points),
+    "pca_variance": pca_variance,
     "clustering_run": clustering_run,
     "save_cluster_labels": save_cluster_labels,
     "load_cluster_labels": load_cluster_labels,

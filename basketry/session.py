@@ -14,7 +14,6 @@ _ROOTS: dict[str, str] = {}
 
 # One shuffle partition per this many input bytes keeps a task well inside executor memory.
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -61,7 +60,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     enough for the biggest shuffle, which carries about as many bytes as the input.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-input_bytes // BYTES_PER_SHUFFLE_PARTITION), MAX_SHUFFLE_PARTITIONS)
+    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)

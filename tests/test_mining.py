@@ -235,16 +235,16 @@ def points(spark, values, labels):
     return frame
 
 
-def brute_silhouette(values, labels):
+def brute_silhouette(values, labels, apart=lambda x, y: abs(x - y)):
     scores = []
     for i, v in enumerate(values):
-        own = [abs(v - w) for j, w in enumerate(values) if labels[j] == labels[i] and j != i]
+        own = [apart(v, w) for j, w in enumerate(values) if labels[j] == labels[i] and j != i]
         if not own:
             scores.append(0.0)
             continue
         a = sum(own) / len(own)
         b = min(
-            sum(abs(v - w) for w, c in zip(values, labels) if c == other) / labels.count(other)
+            sum(apart(v, w) for w, c in zip(values, labels) if c == other) / labels.count(other)
             for other in set(labels) - {labels[i]})
         scores.append((b - a) / max(a, b))
     return sum(scores) / len(scores)
@@ -255,10 +255,19 @@ def test_silhouette_matches_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(C, "BLOCK_ROWS", block)
     values = [sqrt(i * 37 % 23) for i in range(25)]
     labels = [0 if i % 3 else (1 if i % 2 else 2) for i in range(24)] + [3]
-    found = C.bounded_silhouette(points(spark, values, labels)).first().silhouette
+    found = C.bounded_silhouette(points(spark, values, labels), 100).first().silhouette
     assert found == pytest.approx(brute_silhouette(values, labels))
 
 
+def test_squared_silhouette_matches_brute_force(spark):
+    values = [sqrt(i * 37 % 23) for i in range(25)]
+    labels = [0 if i % 3 else (1 if i % 2 else 2) for i in range(24)] + [3]
+    found = C.squared_silhouette(points(spark, values, labels)).first().silhouette
+    assert found == pytest.approx(brute_silhouette(values, labels, lambda x, y: (x - y) ** 2))
+    with pytest.raises(ClusteringDataError):
+        C.squared_silhouette(points(spark, values, [0] * 25))
+
+
 def test_small_samples_are_widened_and_repeat(spark):
     frame = points(spark, [0, .1, 5, 5.1, 10, 10.1], [0, 0, 1, 1, 2, 2])
     chosen, size = C.silhouette_rows(frame, 2)
@@ -269,9 +278,9 @@ def test_small_samples_are_widened_and_repeat(spark):
     with pytest.raises(ValueError):
         C.bounded_silhouette(frame, 1)
     with pytest.raises(ClusteringDataError):
-        C.bounded_silhouette(frame.withColumn("cluster", F.lit(0)))
+        C.bounded_silhouette(frame.withColumn("cluster", F.lit(0)), 2)
     with pytest.raises(ClusteringDataError):
-        C.bounded_silhouette(frame.withColumn("cluster", F.col("user_id")))
+        C.bounded_silhouette(frame.withColumn("cluster", F.col("user_id")), 2)
 
 
 def test_davies_bouldin(spark):
@@ -279,7 +288,13 @@ def test_davies_bouldin(spark):
     assert C.davies_bouldin(frame) == pytest.approx((1 + 2) / 11)
 
 
-def test_projection_is_bounded(users):
+def test_projection_keeps_every_user(users):
     fit, _ = C.train(users, 2, n_init=1)
-    found = C.pca_2d(fit.frame, 12, max_points=5)
-    assert found.points.count() == 5 and found.explained[0] > 0.9
+    found = C.pca_2d(fit.frame)
+    assert found.points.count() == 12 and found.explained[0] > 0.9
+
+
+def test_baskets_are_whole_unless_pruned(spark):
+    prepared = B.prepare_baskets(lines_of(spark, [[3, 1, 2], [1], [3, 4]]))
+    assert sorted(r["items"] for r in prepared.frame.collect()) == [["1", "2", "3"], ["3", "4"]]
+    assert (prepared.count, prepared.top_items) == (2, None)

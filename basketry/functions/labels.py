@@ -18,6 +18,7 @@ AISLE_RULES = (
     ("Dairy", ("dairy", "milk", "yogurt", "cheese")),
     ("Dry Goods", ("packaged", "canned", "dry")),
 )
+# Fixed value: the label of names that no rule fits.
 DEFAULT_LABEL = "General"
 
 # Smallest order count of each customer label, largest first.
@@ -32,10 +33,15 @@ BAND_CEILINGS = (
     (1, 5, "1-5 items"), (6, 10, "6-10 items"), (11, 20, "11-20 items"), (21, 30, "21-30 items"),
 )
 
+# Names of days from Sunday on, and of quarters of a day.
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 HOUR_RANGES = ("00-06 Night", "06-12 Morning", "12-18 Afternoon", "18-24 Evening")
 
 
+# White space of any script at either end.
+AROUND = r"(?U)^\s+|\s+$"
+
+
 def _cascade(cases, default) -> Column:
     chain = F
     for condition, value in cases:
@@ -44,8 +50,9 @@ def _cascade(cases, default) -> Column:
 
 
 def classify(name: Column, rules, default: str = DEFAULT_LABEL) -> Column:
-    """Label of the first rule with a keyword inside the trimmed, lower-cased name."""
-    text = F.lower(F.trim(name))
+    """Label of the first rule with a keyword inside the lower-cased name without the white
+    space around it."""
+    text = F.lower(F.regexp_replace(name, AROUND, ""))
     return _cascade(
         [(text.rlike("|".join(words)), F.lit(label)) for label, words in rules], F.lit(default)
     )

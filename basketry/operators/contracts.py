@@ -21,6 +21,10 @@ MAX_POSITION = 32_767
 REPORT_COLUMNS = ("dataset", "rule_no", "rule", "column_name", "violations")
 
 
+# Nothing, or white space of any script.
+BLANK = r"(?U)^\s*$"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One rule; ``kind`` picks the test and ``columns`` what it looks at."""
@@ -39,7 +43,7 @@ class Rule:
         if self.kind == "not_null":
             return value.isNull()
         if self.kind == "not_blank":
-            return F.trim(value.cast("string")) == ""
+            return value.cast("string").rlike(BLANK)
         if self.kind == "allowed":
             return value.isNull() | ~_member(df, name, self.allowed)
         if self.kind == "first_order":

@@ -8,18 +8,16 @@ from basketry.functions.itemsets import itemset_from_json, itemset_json
 from basketry.mining.recommend import require_labels
 from basketry.mining.rules import METRICS, ordered_rules, with_names
 from basketry.mining.itemsets import ordered_itemsets
-
-# Quotes inside a cell are doubled, as most CSV readers expect.
-_QUOTING = {"header": True, "quote": '"', "escape": '"'}
+from basketry.sources.files import QUOTING, READING
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Any result as headed CSV files."""
-    df.write.options(**_QUOTING).csv(path)
+    """Any result as headed CSV files; white space in cells is kept."""
+    df.write.options(**QUOTING, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**_QUOTING).csv(path)
+    return spark.read.options(**READING).csv(path)
 
 
 def save_rules(rules: DataFrame, path: str, names: DataFrame | None = None) -> None:

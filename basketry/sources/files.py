@@ -7,6 +7,12 @@ from basketry.errors import DataQualityError
 from basketry.schemas import SOURCES
 from basketry.sources import storage
 
+# Quotes inside a cell are doubled and a cell may hold line breaks. A row that does not fit the
+# header stops the read, and every file of a folder is held to its own header.
+QUOTING = {"header": True, "quote": '"', "escape": '"'}
+READING = {**QUOTING, "multiLine": True, "mode": "FAILFAST", "enforceSchema": False,
+           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def source_paths(folder: str) -> dict[str, str]:
     return {key: f"{folder.rstrip('/')}/{name}" for key, (name, _) in SOURCES.items()}
@@ -27,13 +33,13 @@ def read_csv(spark: SparkSession, path: str, columns) -> DataFrame:
 
     Only an empty field is NULL. A header without a required column is a contract error.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.options(**READING).csv(path).columns
     missing = [name for name in columns if name not in header]
     if missing:
         name = path.rsplit("/", 1)[-1]
         raise DataQualityError(f"{name}: missing required columns: {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return spark.read.schema(schema).option("header", True).csv(path).select(*columns)
+    return spark.read.schema(schema).options(**READING).csv(path).select(*columns)
 
 
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

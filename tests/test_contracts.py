@@ -88,3 +88,28 @@ def test_blank_and_duplicate_names(spark):
         C.enforce_sources(make_sources(spark, departments=[(1, "  "), (2, "a")]))
     with pytest.raises(DataQualityError, match=r"duplicate business key \(aisle\)"):
         C.enforce_sources(make_sources(spark, aisles=[(1, "a"), (2, "a")]))
+
+
+def test_csv_cells_survive_a_round_trip(spark, tmp_path):
+    from basketry.sources import artifacts, files
+
+    names = ['Ham "Deli" Style, Sliced', "two\nlines", "back\\slash", "\tTAB ", '"', ",", "NA", "é"]
+    given = spark.createDataFrame([(str(i), n, "2", "3") for i, n in enumerate(names)],
+                                  "product_id string, product_name string, aisle_id string, department_id string")
+    artifacts.export_csv(given.repartition(3), str(tmp_path / "out"))
+    found = files.read_csv(spark, str(tmp_path / "out"), given.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, given.collect()))
+
+
+def test_files_of_a_folder_keep_their_own_header(spark, tmp_path):
+    from basketry.sources import files
+
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n4,3\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path), ["x", "y"]).collect()
+
+
+@pytest.mark.parametrize("blank", ["\t", "\u00a0\u2003", " \n"])
+def test_white_space_of_any_kind_is_blank(spark, blank):
+    assert violations(spark, [blank, "a", ""], *C.not_blank("x")) == [0, 2]

@@ -137,8 +137,9 @@ def build_warehouse(
 ) -> tuple[Warehouse, dict]:
     """Load the six sources into ``root``; returns the warehouse and the run report.
 
-    ``reset`` replaces an earlier load and needs ``confirmed`` as well. The report is
-    written for failed runs too.
+    ``reset`` replaces an earlier load and needs ``confirmed`` as well; the replaced tables go
+    once the new ones are visible, and those of a failed run go at once. The report is written
+    for failed runs too.
     """
     if reset and not confirmed:
         raise PipelineError("reset replaces loaded data and must be confirmed")
@@ -154,6 +155,9 @@ def build_warehouse(
             ensure_empty_target(spark, root)
         if validate:
             enforce_sources(sources)
+        pointer = f"{root}/{CURRENT}"
+        replaced = json.loads(storage.read_text(spark, pointer))["run_id"] if (
+            reset and storage.exists(spark, pointer)) else None
         width = _write_tables(sources, folder, stages)
         wh = read_run(spark, folder, width)
         _, _, report["quality_checks"], report["table_counts"] = together(
@@ -162,13 +166,14 @@ def build_warehouse(
             lambda: checks.require_warehouse(wh),
             lambda: count_rows(wh),
         )
-        storage.write_text(
-            spark, f"{root}/{CURRENT}", json.dumps({"run_id": run_id, "range_width": width})
-        )
+        storage.write_text(spark, pointer, json.dumps({"run_id": run_id, "range_width": width}))
+        if replaced:
+            storage.delete(spark, f"{root}/{replaced}")
         report["status"] = "succeeded"
         return wh, report
     except Exception as error:
         report.update(status="failed", error_type=type(error).__name__, error=str(error))
+        storage.delete(spark, folder)
         raise
     finally:
         report["finished_at"] = _now()

@@ -42,3 +42,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def read_text(spark: SparkSession, path: str) -> str:
     rows = spark.read.text(path, wholetext=True).collect()
     return rows[0].value
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote; a missing one is fine."""
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)

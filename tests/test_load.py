@@ -166,3 +166,22 @@ def test_broken_warehouse_names_every_failure(wh):
     assert "users_without_orders" not in text
     with pytest.raises(PipelineError, match="orders without line items: 1"):
         checks.require_derived_metrics(broken)
+
+
+def test_failed_and_replaced_loads_leave_no_tables(spark, tmp_path):
+    import os
+
+    from conftest import make_sources
+
+    root = str(tmp_path / "w")
+
+    def runs():
+        return sorted(name for name in os.listdir(root) if not name.startswith(("_", ".")) and os.path.isdir(f"{root}/{name}"))
+
+    pipeline.build_warehouse(make_sources(spark), root)
+    first = runs()
+    with pytest.raises(Exception):
+        pipeline.build_warehouse(make_sources(spark, departments=[(1, " ")]), root, reset=True, confirmed=True)
+    assert runs() == first and len(first) == 1
+    pipeline.build_warehouse(make_sources(spark), root, reset=True, confirmed=True)
+    assert len(runs()) == 1 and runs() != first

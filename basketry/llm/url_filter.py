@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.words import LOWER, UPPER
-from basketry.session import small_broadcast
+from basketry.session import materialize, small_broadcast
 
 # The rules that a page filter starts from, (verdict, host, path).
 RULES = (
@@ -68,7 +68,7 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     return found
 
 
-def _strength(rows: DataFrame, prior: str) -> Column:
+def _strength(prior: str) -> Column:
     """Prior strength of a level from the spread of its rates around their priors: the
     beta-binomial variance is p(1 - p)(1 + (n - 1) / (s + 1)) / n, solved for s and summed over
     the level, kept within STRENGTHS."""
@@ -87,19 +87,20 @@ def _shrink(counts: DataFrame, parents: DataFrame, level: str, parent: str) -> D
     rows = counts.groupBy(level, *([parent] if parent != level else [])).agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(
         small_broadcast(priors, SMALL_SIDE), parent)
-    strength = rows.agg(_strength(rows, "prior").alias("s"))
-    return rows.join(F.broadcast(strength)).select(
-        level, ((F.col("bad") + F.col("s") * F.col("prior")) / (F.col("n") + F.col("s"))).alias("mean"),
-        (F.col("n") + F.col("s")).alias("weight"))
+    rows = materialize(rows, f"rates-by-{level}")
+    strength = rows.agg(_strength("prior")).first()[0]
+    return rows.select(
+        level, ((F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)).alias("mean"),
+        (F.col("n") + strength).alias("weight"))
 
 
 def reputations(outcomes: DataFrame) -> dict[str, DataFrame]:
     """Posteriors from (host, bad): per host, domain, suffix and overall (the key is '')."""
     known = outcomes.where(F.col("bad").isNotNull())
-    counts = known.groupBy("host").agg(
+    counts = materialize(known.groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")).select(
         "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"),
-        F.lit("").alias("all"), "n", "bad")
+        F.lit("").alias("all"), "n", "bad"), "outcomes-by-host")
     overall = counts.agg(
         F.lit("").alias("all"), ((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("mean"),
         (F.coalesce(F.sum("n"), F.lit(0)) + 2).cast("double").alias("weight"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import free_name, utf8
 from basketry.llm.components import components
 from basketry.llm.shingles import Shingler
-from basketry.session import materialize
+from basketry.session import materialize, small_broadcast
 
 WORDS = 5
 PERCENT = 80
@@ -45,6 +45,8 @@ COMMON_IN_BATCH = 8
 # At most so many common tokens are sent to all tasks (eight bytes each).
 COMMON_TOKENS = 1 << 20
 SIZE_STEP = 1.1
+# The list of documents whose sets are compared is broadcast up to this many rows.
+SMALL_SIDE = 1 << 18
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -117,10 +119,11 @@ def first_tokens(documents: DataFrame, common: np.ndarray, words: int, percent:
 
 
 def shared_tokens(classes: DataFrame) -> DataFrame:
-    """(node, class, n, token, held): list tokens that at least two classes hold."""
-    listed = classes.select("node", "n", F.explode("tokens").alias("token"))
+    """(node, token, held, n): list tokens that at least two classes hold. Only node and token
+    are dealt out, for nearly all tokens end here."""
+    listed = classes.select("node", F.explode("tokens").alias("token"))
     held = F.count("*").over(Window.partitionBy("token"))
-    return listed.withColumn("held", held).where(F.col("held") > 1)
+    return listed.withColumn("held", held).where(F.col("held") > 1).join(classes.select("node", "n"), "node")
 
 
 def make_groups(shared: DataFrame) -> DataFrame:
@@ -152,16 +155,36 @@ def groups_to_open(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFra
         (F.col("seen") + unseen) * (100 + percent) >= percent * (F.col("n") + low)).select("node", "gid", "target")
 
 
-def whole_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, gid, asks, tokens) of the ``wanted`` classes (doc_id, class, node, gid, asks).
+def places_to_go(nodes: DataFrame, visits: DataFrame) -> DataFrame:
+    """(node, places): where the whole set of a class has to be. A place is a part of an opened
+    group; guests of a busy group come in parts, and each part gets all members."""
+    away = visits.where("gid <> target").select("node", "target")
+    parts = away.groupBy("target").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("parts"))
+    guests = away.join(parts, "target").select(
+        "node", F.col("target").alias("gid"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"),
+        F.lit(True).alias("asks"), F.lit(True).alias("guest"))
+    opened = visits.select("target").distinct().join(parts, "target", "left").select(
+        F.col("target").alias("gid"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    homes = visits.where("gid = target").select("node", F.lit(True).alias("at_home"))
+    members = nodes.join(opened, "gid").join(homes, "node", "left").select(
+        "node", "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.coalesce("at_home", F.lit(False)).alias("asks"), F.lit(False).alias("guest"))
+    # One part is enough for members to ask each other.
+    members = members.withColumn("asks", F.col("asks") & (F.col("part") == 0))
+    return members.unionByName(guests).groupBy("node").agg(
+        F.collect_list(F.struct("gid", "part", "asks", "guest")).alias("places"))
+
+
+def dealt_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, tokens, gid, part, asks, guest): the sets of the ``wanted`` classes (doc_id,
+    class, node, places) at their places.
 
     Only documents that stand for a wanted class are read; a row that has the id but another
-    set is passed over.
+    set is passed over. A small list of them is broadcast, a longer one joined by shuffle.
     """
     texts = _texts(documents)
-    named = wanted.withColumnRenamed("doc_id", "stands_for")
-    rows = texts.join(named, texts["doc_id"].eqNullSafe(named["stands_for"])).select(
-        "text", "class", "node", "gid", "asks")
+    named = small_broadcast(wanted.withColumnRenamed("doc_id", "stands_for"), SMALL_SIDE)
+    rows = texts.join(named, texts["doc_id"].eqNullSafe(named["stands_for"])).select("text", "class", "node", "places")
 
     def run(batches):
         shingler = Shingler(words)
@@ -169,10 +192,11 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame
             sets = [shingler.shingles(text) for text in utf8(batch.column(0))]
             same = pa.array([digest(s) == c for s, c in zip(sets, batch.column(1).to_pylist())], pa.bool_())
             tokens = pa.array([s.tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], tokens], ["node", "gid", "asks", "tokens"]).filter(same)
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], tokens], ["node", "places", "tokens"]).filter(same)
 
-    return rows.mapInArrow(run, "node long, gid long, asks boolean, tokens binary")
+    sets = rows.mapInArrow(
+        run, "node long, places array<struct<gid:long,part:long,asks:boolean,guest:boolean>>, tokens binary")
+    return sets.select("node", "tokens", F.inline("places"))
 
 
 class _Forest:
@@ -190,9 +214,10 @@ class _Forest:
         return x != y
 
 
-def open_group(members: pd.DataFrame, visitors: pd.DataFrame, percent: int, every: bool) -> list[tuple[int, int]]:
-    """Links between members that ask and members, and between visitors and members: all of
-    them if ``every``, else enough to connect what they connect."""
+def open_group(rows: pd.DataFrame, percent: int, every: bool) -> list[tuple[int, int]]:
+    """Links from the rows that ask, members or guests, to members: all of them if ``every``,
+    else enough to connect what they connect."""
+    members = rows[~rows["guest"]]
     nodes = members["node"].to_numpy(np.int64)
     sets = [np.frombuffer(t, np.uint64) for t in members["tokens"]]
     sizes = np.array([s.size for s in sets], np.int64)
@@ -200,8 +225,7 @@ def open_group(members: pd.DataFrame, visitors: pd.DataFrame, percent: int, ever
     order = np.argsort(flat, kind="stable")
     union, first = np.unique(flat[order], return_index=True)
     owner, ends = owner[order], np.append(first[1:], flat.size)
-    asking = [(n, s, True) for n, s, a in zip(nodes, sets, members["asks"]) if a]
-    asking += [(n, np.frombuffer(t, np.uint64), False) for n, t in zip(visitors["guest"], visitors["brought"])]
+    asking = [(r.node, np.frombuffer(r.tokens, np.uint64), not r.guest) for r in rows[rows["asks"]].itertuples()]
     forest, links = _Forest(), []
     for node, tokens, home in asking:
         at = np.minimum(np.searchsorted(union, tokens), union.size - 1)
@@ -231,31 +255,14 @@ def link_classes(documents: DataFrame, percent: int = PERCENT, words: int = WORD
     shared = materialize(shared_tokens(classes), "shared-tokens")
     nodes = materialize(make_groups(shared), "token-groups")
     visits = materialize(groups_to_open(shared, nodes, percent), "group-visits")
-    opened = visits.select(F.col("target").alias("gid")).distinct()
-    homes = visits.where("gid = target").select("node", F.lit(True).alias("asks"))
-    taking_part = nodes.join(opened, "gid", "left_semi").select("node", "gid").union(
-        visits.select("node", "gid")).distinct().join(homes, "node", "left").fillna(False, ["asks"])
     stand = placed.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = materialize(taking_part.join(classes.select("node", "class"), "node").join(stand, "class"), "sets-wanted")
-    sets = materialize(whole_sets(documents, wanted, words), "whole-sets")
-    # Visitors of a busy group come in parts, and every part gets the group's members.
-    away = visits.where("gid <> target").select("node", "target")
-    parts = away.groupBy("target").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("parts"))
-    guests = away.join(parts, "target").select(
-        "node", "target", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")).join(
-        sets.select("node", "tokens"), "node").select("target", "part", "node", "tokens").toDF(
-        "to_gid", "to_part", "guest", "brought")
-    members = sets.join(opened, "gid", "left_semi").join(
-        parts.withColumnRenamed("target", "gid"), "gid", "left").select(
-        "gid", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), "node", "asks", "tokens"
-    ).withColumn("asks", F.col("asks") & (F.col("part") == 0))
-
-    def compare(members: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(open_group(members, visitors, percent, every) if len(members) else [],
-                            columns=["u", "v"], dtype="int64")
-
-    links = members.groupBy("gid", "part").cogroup(guests.groupBy("to_gid", "to_part")).applyInPandas(
-        compare, "u long, v long")
+    places = places_to_go(nodes.select("node", "gid"), visits)
+    wanted = materialize(places.join(classes.select("node", "class"), "node").join(stand, "class"), "sets-wanted")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(open_group(rows, percent, every), columns=["u", "v"], dtype="int64")
+
+    links = dealt_sets(documents, wanted, words).groupBy("gid", "part").applyInPandas(compare, "u long, v long")
     return placed, classes, materialize(links, "links")
 
 

@@ -1,10 +1,7 @@
 """Frequent itemsets, by pattern growth and level by level."""
 
-from functools import reduce
 from math import ceil
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +9,10 @@ from pyspark.sql import functions as F
 from basketry.errors import BasketDataError
 from basketry.functions.itemsets import itemset_json
 from basketry.mining.baskets import Baskets
-from basketry.session import materialize
+from basketry.session import materialize, small_broadcast
 
-# Itemsets one task extends at a time, and baskets it encodes at a time; together with the
-# top-item list they bound a task's memory. More itemsets take more passes.
-SLICE = 2_048
-BATCH = 4_096
+# Levels and candidate lists up to this many rows are broadcast.
+SMALL_LEVEL = 100_000
 
 
 def _require_support(min_support: float) -> None:
@@ -62,78 +57,60 @@ def frequent_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     return _finished(found.select(F.array_sort("items").alias("items"), "freq"), baskets, min_support)
 
 
-def _extension_counter(items: list[str], prefixes: list[list[int]]):
-    """Arrow-batched counter: baskets holding a prefix together with each later item."""
-    place = {item: index for index, item in enumerate(items)}
-    last = np.array([prefix[-1] if prefix else -1 for prefix in prefixes])
-
-    def count(batches):
-        totals = np.zeros((len(prefixes), len(items)))
-        for batch in batches:
-            rows = batch["items"]
-            for start in range(0, len(rows), BATCH):
-                part = rows.iloc[start:start + BATCH]
-                has = np.zeros((len(part), len(items)), dtype=np.float32)
-                for row, basket in enumerate(part):
-                    has[row, [place[item] for item in basket if item in place]] = 1.0
-                holds = np.stack([has[:, prefix].all(axis=1) for prefix in prefixes], axis=1)
-                totals += holds.astype(np.float32).T @ has
-        later = np.arange(len(items))[None, :] > last[:, None]
-        prefix, item = np.nonzero((totals > 0) & later)
-        yield pd.DataFrame({
-            "prefix": prefix, "item": item, "freq": totals[prefix, item].astype(np.int64),
-        })
-
-    return count
-
-
-def _extended(baskets: Baskets, items, prefixes, floor: int) -> DataFrame:
-    """Frequent extensions of one slice of itemsets, as (codes, freq)."""
-    spark = baskets.frame.sparkSession
-    known = spark.createDataFrame(list(enumerate(prefixes)), "prefix int, codes array<int>")
-    return (
-        baskets.frame.where(F.size("items") > len(prefixes[0]))
-        .mapInPandas(_extension_counter(items, prefixes), "prefix int, item int, freq bigint")
-        .groupBy("prefix", "item").agg(F.sum("freq").alias("freq"))
-        .where(F.col("freq") >= floor)
-        .join(F.broadcast(known), "prefix")
-        .select(F.concat("codes", F.array("item")).alias("codes"), "freq")
+def _candidates(level: DataFrame, length: int) -> DataFrame:
+    """(parent, item, items) of one more item than ``level`` has: two sets that differ in their
+    last item only, all of whose other subsets are frequent as well."""
+    sides = level.select(
+        "items", F.slice("items", 1, length - 1).alias("head"), F.element_at("items", -1).alias("item")
     )
+    right = sides.select("head", "item")
+    joined = sides.withColumnRenamed("item", "last").join(right, "head").where(
+        F.col("last") < F.col("item")
+    ).select(F.col("items").alias("parent"), "item", F.concat("items", F.array("item")).alias("items"))
+    if length < 2:
+        return joined
+    # without its last item a set is its parent, without the one before it the other parent
+    subsets = joined.select("items", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(length - 1)),
+        lambda gap: F.filter("items", lambda _, i: i + 1 != gap))).alias("subset"))
+    broken = subsets.join(level.select(F.col("items").alias("subset")), "subset", "left_anti")
+    return joined.join(broken.select("items").distinct(), "items", "left_anti")
 
 
 def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     """The same itemsets level by level: every frequent set is extended by later items.
 
-    A task turns its baskets into an item matrix and counts all extensions of a slice of
-    sets with one matrix product. It emits one row per extension that occurs, never the
-    pairs of a basket. Sets are handed out in slices of about fixed size, so what the driver
-    holds and a task receives does not grow with the data.
+    A level is a frame, and so are the baskets that hold its sets: an extension is held where
+    its parent is held and its last item is in the basket. Nothing but row counts reaches the
+    driver.
     """
     _require_support(min_support)
     floor = smallest_count(min_support, baskets.count)
-    spark = baskets.frame.sparkSession
+    lines = baskets.frame.select("order_id", F.explode(F.array_distinct("items")).alias("item"))
     singles = materialize(
-        baskets.frame.select(F.explode("items").alias("item"))
-        .groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor),
+        lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor),
         "level-1",
     )
-    # no more than the top-item list
-    items = [row.item for row in singles.orderBy("item").collect()]
-    names = F.array(*[F.lit(item) for item in items]) if items else F.array().cast("array<string>")
-    found = singles.select(F.array("item").alias("items"), "freq")
-    level = spark.createDataFrame([([i],) for i in range(len(items))], "codes array<int>")
-    size = len(items)
-    while size:
-        slices = -(-size // SLICE)
-        mark = F.pmod(F.xxhash64("codes"), F.lit(slices))
-        parts = []
-        for part in range(slices):
-            prefixes = [row.codes for row in level.where(mark == part).select("codes").collect()]
-            if prefixes:
-                parts.append(_extended(baskets, items, prefixes, floor))
-        level = materialize(reduce(DataFrame.unionAll, parts), "level")
-        size = level.count()
-        found = found.unionAll(
-            level.select(F.transform("codes", lambda c: F.get(names, c)).alias("items"), "freq")
+    lines = materialize(
+        lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi"),
+        "frequent-lines",
+    )
+    level = singles.select(F.array("item").alias("items"), "freq")
+    held = lines.select("order_id", F.array("item").alias("parent"))
+    found, length = level, 1
+    while not level.isEmpty():
+        extended = materialize(_candidates(level, length), "candidates")
+        matched = materialize(
+            held.join(small_broadcast(extended, SMALL_LEVEL), "parent")
+            .join(lines, ["order_id", "item"]).select("order_id", "items"),
+            "held",
+        )
+        level = materialize(
+            matched.groupBy("items").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor),
+            "level",
         )
+        held = matched.join(
+            small_broadcast(level.select("items"), SMALL_LEVEL), "items", "left_semi"
+        ).select("order_id", F.col("items").alias("parent"))
+        found, length = found.unionAll(level), length + 1
     return _finished(found, baskets, min_support)

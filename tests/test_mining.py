@@ -78,12 +78,12 @@ def test_itemsets_match_brute_force(spark, mine, support):
     assert max(map(len, found)) >= 2
 
 
-def test_apriori_works_through_several_slices(spark, monkeypatch):
-    monkeypatch.setattr(I, "SLICE", 3)
-    monkeypatch.setattr(I, "BATCH", 7)
+def test_apriori_without_broadcasts_and_without_python(spark, monkeypatch):
+    monkeypatch.setattr(I, "SMALL_LEVEL", 0)
     prepared = B.prepare_baskets(lines_of(spark, BASKETS), min_items=2)
-    found = {tuple(r["items"]): r.freq for r in I.apriori_itemsets(prepared, 0.1).collect()}
-    assert found == brute_itemsets(BASKETS, 0.1)
+    itemsets = I.apriori_itemsets(prepared, 0.1)
+    assert {tuple(r["items"]): r.freq for r in itemsets.collect()} == brute_itemsets(BASKETS, 0.1)
+    assert "Python" not in itemsets._jdf.queryExecution().executedPlan().toString()
 
 
 def test_support_boundary_is_included(spark):

@@ -7,9 +7,10 @@ and only classes are compared.
    bounded number) come last in the order of tokens, which is by hash otherwise. Any order gives
    the same links; this one keeps passages that many texts share out of the lists below.
 2. Two sets of similarity ``percent`` share one of their first n - ceil(n * percent / 100) + 1
-   tokens in that order. Of these lists, tokens that occur in a single class are dropped.
-3. A class joins the group of the commonest token of its list and of its size class, at most
-   ``GROUP_MEMBERS`` to a group: near copies meet in few groups.
+   tokens in that order. Lists are a little longer than that, which sharpens the bound below.
+   Of the lists, tokens that occur in a single class are dropped.
+3. A class joins a group by the commonest token of its list and its size class. A group takes
+   ``GROUP_MEMBERS`` at most, and fewer the less its members' lists have in common.
 4. The token-group matrix holds, for each group, the union of its members' list tokens. A class
    counts how many of its tokens a group's column holds. What the lists do not show is at most
    the rest of the larger set, so the count bounds the overlap with any member of the group, and
@@ -39,12 +40,15 @@ from basketry.session import materialize, small_broadcast
 
 WORDS = 5
 PERCENT = 80
-GROUP_MEMBERS = 256
+GROUP_MEMBERS, LEAST_MEMBERS = 256, 4
 # A batch of documents reports tokens that this many of its documents hold.
 COMMON_IN_BATCH = 8
 # At most so many common tokens are sent to all tasks (eight bytes each).
 COMMON_TOKENS = 1 << 20
 SIZE_STEP = 1.1
+# A list holds one token in so many more than it needs: without these spare tokens a single
+# shared one would open a group of sets a fifth smaller.
+SPARE = 20
 # The list of documents whose sets are compared is broadcast up to this many rows.
 SMALL_SIDE = 1 << 18
 
@@ -62,6 +66,11 @@ def needed(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def list_length(n: int, percent: int) -> int:
+    """How many first tokens of a set of ``n`` are listed."""
+    return n - needed(n, percent) + 1 + n // SPARE
+
+
 def classify(documents: DataFrame, words: int) -> DataFrame:
     """(doc_id, class, n, token, held): a row per document, and rows of common tokens with the
     number of documents of a batch that hold them (their class is null)."""
@@ -108,7 +117,7 @@ def first_tokens(documents: DataFrame, common: np.ndarray, words: int, percent:
                 order = np.concatenate([tokens[~late], tokens[late]])
                 classes.append(digest(tokens))
                 sizes.append(tokens.size)
-                lists.append(order[:tokens.size - needed(tokens.size, percent) + 1].view(np.int64))
+                lists.append(order[:list_length(tokens.size, percent)].view(np.int64))
             starts = np.cumsum([0, *map(len, lists)], dtype=np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *lists])
             yield pa.RecordBatch.from_arrays([
@@ -127,14 +136,23 @@ def shared_tokens(classes: DataFrame) -> DataFrame:
 
 
 def make_groups(shared: DataFrame) -> DataFrame:
-    """(node, n, gid): the group of every class that shares a token."""
+    """(node, n, gid): the group of every class that shares a token.
+
+    A group's token union should stay close to its members' own lists, else it bounds nothing.
+    So a group takes more members the more often they hold the same tokens: near copies fill
+    it, texts that share a passage or two stay in small groups.
+    """
     home = shared.groupBy("node", "n").agg(F.max(F.struct("held", "token")).alias("top"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(SIZE_STEP)))
-    placed = home.select("node", "n", F.col("top.token").alias("token"), step.alias("step"))
-    full = placed.groupBy("token", "step").count()
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / GROUP_MEMBERS))
-    # Groups whose hashed names fall together merely make one larger group.
-    return placed.join(full, ["token", "step"]).select("node", "n", F.xxhash64("token", "step", part).alias("gid"))
+    # Kinds and groups whose hashed names fall together merely make one larger kind or group.
+    placed = home.select("node", "n", F.xxhash64(F.col("top.token"), step).alias("kind"))
+    alike = shared.join(placed.select("node", "kind"), "node").groupBy("kind", "token").agg(
+        F.count("*").alias("rows")).groupBy("kind").agg((F.sum("rows") / F.count("*")).alias("repeats"))
+    room = F.least(F.lit(GROUP_MEMBERS), F.greatest(F.lit(LEAST_MEMBERS), F.ceil(2 * F.col("repeats"))))
+    full = placed.groupBy("kind").count().join(alike, "kind").select(
+        "kind", F.ceil(F.col("count") / room).alias("parts"))
+    return placed.join(full, "kind").select(
+        "node", "n", F.xxhash64("kind", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("gid"))
 
 
 def groups_to_open(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -150,7 +168,9 @@ def groups_to_open(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     counted = met.groupBy("node", "n", "gid", "target", "least", "most").agg(F.count("*").alias("seen"))
     low = F.greatest("least", F.ceil(F.col("n") * percent / 100))
     high = F.least("most", F.floor(F.col("n") * 100 / percent))
-    unseen = F.greatest(F.ceil(F.col("n") * percent / 100), F.ceil(high * percent / 100)) - 1
+    # What a list leaves out of a set; one more for a member slightly below the highest size.
+    rest = lambda n: F.ceil(n * percent / 100) - 1 - F.floor(n / SPARE)
+    unseen = F.greatest(rest(F.col("n")), rest(high) + 1)
     return counted.where(
         (F.col("seen") + unseen) * (100 + percent) >= percent * (F.col("n") + low)).select("node", "gid", "target")
 

@@ -81,12 +81,9 @@ def _strength(prior: str) -> Column:
     return F.least(F.greatest(F.coalesce(s, F.lit(STRENGTHS[1])), F.lit(STRENGTHS[0])), F.lit(STRENGTHS[1]))
 
 
-def _shrink(counts: DataFrame, parents: DataFrame, level: str, parent: str) -> DataFrame:
-    """(level, mean, strength): posterior mean of each key and the total weight behind it."""
-    priors = parents.select(F.col(parent), F.col("mean").alias("prior"))
-    rows = counts.groupBy(level, *([parent] if parent != level else [])).agg(
-        F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(
-        small_broadcast(priors, SMALL_SIDE), parent)
+def _shrink(rows: DataFrame, level: str) -> DataFrame:
+    """(level, mean, weight) of (level, n, bad, prior): posterior mean of each key, and the
+    weight behind it."""
     rows = materialize(rows, f"rates-by-{level}")
     strength = rows.agg(_strength("prior")).first()[0]
     return rows.select(
@@ -94,19 +91,28 @@ def _shrink(counts: DataFrame, parents: DataFrame, level: str, parent: str) -> D
         (F.col("n") + strength).alias("weight"))
 
 
-def reputations(outcomes: DataFrame) -> dict[str, DataFrame]:
-    """Posteriors from (host, bad): per host, domain, suffix and overall (the key is '')."""
+def reputations(outcomes: DataFrame) -> tuple[dict[str, DataFrame], tuple[float, float]]:
+    """Posteriors from (host, bad): per host, domain and suffix, and the overall mean and weight."""
     known = outcomes.where(F.col("bad").isNotNull())
     counts = materialize(known.groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")).select(
         "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"),
-        F.lit("").alias("all"), "n", "bad"), "outcomes-by-host")
-    overall = counts.agg(
-        F.lit("").alias("all"), ((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("mean"),
-        (F.coalesce(F.sum("n"), F.lit(0)) + 2).cast("double").alias("weight"))
-    suffix = _shrink(counts, overall, "suffix", "all")
-    domain = _shrink(counts, suffix, "domain", "suffix")
-    return {"all": overall, "suffix": suffix, "domain": domain, "host": _shrink(counts, domain, "host", "domain")}
+        "n", "bad"), "outcomes-by-host")
+    total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    weight = (total["n"] or 0) + 2.0
+    mean = ((total["bad"] or 0) + 1) / weight
+
+    def summed(*keys):
+        return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+
+    def below(level, parent, posterior):
+        priors = posterior.select(parent, F.col("mean").alias("prior"))
+        return summed(level, parent).join(small_broadcast(priors, SMALL_SIDE), parent)
+
+    suffix = _shrink(summed("suffix").withColumn("prior", F.lit(mean)), "suffix")
+    domain = _shrink(below("domain", "suffix", suffix), "domain")
+    host = _shrink(below("host", "domain", domain), "host")
+    return {"host": host, "domain": domain, "suffix": suffix}, (mean, weight)
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
@@ -119,21 +125,24 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
     urls = urls.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     once = outcomes.groupBy("page_id").agg(F.max("bad").alias("bad")).withColumnRenamed("page_id", "outcome_of")
     labelled = urls.join(once, urls["page_id"] == once["outcome_of"]).select("host", "bad")
-    levels = reputations(labelled)
+    levels, overall = reputations(labelled)
     # Every host that occurs gets its posterior once; pages then only look their host up.
     hosts = urls.select("host").distinct().select(
-        "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"),
-        F.lit("").alias("all"))
-    for level in ("host", "domain", "suffix", "all"):
-        hosts = hosts.join(levels[level].select(level, F.struct("mean", "weight").alias(f"by_{level}")), level, "left")
+        "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"))
+    for level, posterior in levels.items():
+        found = posterior.select(level, F.struct("mean", "weight").alias(f"by_{level}"))
+        hosts = hosts.join(small_broadcast(found, SMALL_SIDE), level, "left")
     # A level that saw no outcome has its parent's mean as prior and no evidence of its own.
-    best = F.coalesce("by_host", "by_domain", "by_suffix", "by_all")
+    best = F.coalesce("by_host", "by_domain", "by_suffix", F.struct(
+        F.lit(overall[0]).alias("mean"), F.lit(overall[1]).alias("weight")))
     mean, weight = best["mean"], best["weight"]
     scored = hosts.select("host", mean.alias("bad_rate"),
                           (mean - BOUND * F.sqrt(mean * (1 - mean) / (weight + 1))).alias("bound"))
     found = matching_rule(F.col("host"), F.col("path"), rules)
     ruled = urls.withColumn("found", found) if rules else urls.withColumn(
         "found", F.lit(None).cast("struct<rule:string,verdict:string>"))
+    # A host may have any share of all pages, so a counted list of hosts is broadcast.
+    scored = small_broadcast(materialize(scored, "host-bounds"), SMALL_SIDE)
     return ruled.join(scored, "host", "left").select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"),
         F.coalesce(F.col("found.verdict"), F.when(F.col("bound") > max_bad_rate, "block").otherwise("allow")

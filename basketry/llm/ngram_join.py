@@ -71,6 +71,22 @@ def list_length(n: int, percent: int) -> int:
     return n - needed(n, percent) + 1 + n // SPARE
 
 
+def repeated(tokens: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that occur at least so many times, sorted, and how often; sorts in place, for
+    a batch holds millions."""
+    tokens.sort()
+    last = times - 1
+    often = np.unique(tokens[last:][tokens[last:] == tokens[:max(0, tokens.size - last)]])
+    return often, np.searchsorted(tokens, often, "right") - np.searchsorted(tokens, often)
+
+
+def among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which tokens are in a sorted array."""
+    if not known.size:
+        return np.zeros(tokens.size, bool)
+    return known[np.minimum(np.searchsorted(known, tokens), known.size - 1)] == tokens
+
+
 def classify(documents: DataFrame, words: int) -> DataFrame:
     """(doc_id, class, n, token, held): a row per document, and rows of common tokens with the
     number of documents of a batch that hold them (their class is null)."""
@@ -79,14 +95,14 @@ def classify(documents: DataFrame, words: int) -> DataFrame:
         shingler = Shingler(words)
         for batch in batches:
             sets = [shingler.shingles(text) for text in utf8(batch.column(1))]
-            tokens, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-            often = held >= COMMON_IN_BATCH
-            tokens, held, n = tokens[often], held[often], len(sets)
+            n, sizes, digests = len(sets), [s.size for s in sets], [digest(s) for s in sets]
+            tokens, held = repeated(np.concatenate([np.zeros(0, np.uint64), *sets]), COMMON_IN_BATCH)
+            del sets
             none = pa.nulls(len(tokens))
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([batch.column(0), none.cast(pa.int64())]),
-                pa.concat_arrays([pa.array([digest(s) for s in sets], pa.binary()), none.cast(pa.binary())]),
-                pa.concat_arrays([pa.array([s.size for s in sets], pa.int64()), none.cast(pa.int64())]),
+                pa.concat_arrays([pa.array(digests, pa.binary()), none.cast(pa.binary())]),
+                pa.concat_arrays([pa.array(sizes, pa.int64()), none.cast(pa.int64())]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens.view(np.int64))]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(held, pa.int64())]),
             ], ["doc_id", "class", "n", "token", "held"])
@@ -113,7 +129,7 @@ def first_tokens(documents: DataFrame, common: np.ndarray, words: int, percent:
                 tokens = shingler.shingles(text)
                 if not tokens.size:
                     continue
-                late = np.isin(tokens, common, assume_unique=True)
+                late = among(tokens, common)
                 order = np.concatenate([tokens[~late], tokens[late]])
                 classes.append(digest(tokens))
                 sizes.append(tokens.size)

@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import free_name, utf8
@@ -57,6 +57,10 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+def text_mark(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("string").cast("binary"), 256))
+
+
 def digest(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
@@ -88,8 +92,9 @@ def among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def classify(documents: DataFrame, words: int) -> DataFrame:
-    """(doc_id, class, n, token, held): a row per document, and rows of common tokens with the
-    number of documents of a batch that hold them (their class is null)."""
+    """(doc_id, mark, class, n, token, held): a row per document, and rows of common tokens with
+    the number of documents of a batch that hold them (their class is null). ``mark`` tells the
+    texts of a repeated id apart."""
 
     def run(batches):
         shingler = Shingler(words)
@@ -101,13 +106,15 @@ def classify(documents: DataFrame, words: int) -> DataFrame:
             none = pa.nulls(len(tokens))
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([batch.column(0), none.cast(pa.int64())]),
+                pa.concat_arrays([batch.column(2), none.cast(pa.binary())]),
                 pa.concat_arrays([pa.array(digests, pa.binary()), none.cast(pa.binary())]),
                 pa.concat_arrays([pa.array(sizes, pa.int64()), none.cast(pa.int64())]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens.view(np.int64))]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(held, pa.int64())]),
-            ], ["doc_id", "class", "n", "token", "held"])
+            ], ["doc_id", "mark", "class", "n", "token", "held"])
 
-    return _texts(documents).mapInArrow(run, "doc_id long, class binary, n long, token long, held long")
+    marked = _texts(documents).withColumn("mark", text_mark(F.col("text")))
+    return marked.mapInArrow(run, "doc_id long, mark binary, class binary, n long, token long, held long")
 
 
 def common_tokens(rows: DataFrame) -> np.ndarray:
@@ -284,7 +291,7 @@ def link_classes(documents: DataFrame, percent: int = PERCENT, words: int = WORD
     With ``every`` the links are all pairs of similar classes, else a forest that connects them.
     """
     rows = materialize(classify(documents, words), "shingle-rows")
-    placed = rows.where(F.col("class").isNotNull()).select("doc_id", "class", "n")
+    placed = rows.where(F.col("class").isNotNull()).select("doc_id", "mark", "class", "n")
     lists = first_tokens(documents, common_tokens(rows), words, percent)
     alike = lists.groupBy("class").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     classes = materialize(alike.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
@@ -308,8 +315,8 @@ def similar_pairs(documents: DataFrame, percent: int = PERCENT, words: int = WOR
     return placed.join(classes.select("class", "node"), "class", "left").select("doc_id", "node"), links
 
 
-def similar_components(documents: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (its smallest doc_id)."""
+def marked_components(documents: DataFrame, percent: int, words: int) -> DataFrame:
+    """One row per document: doc_id, mark, n_shingles, component_id (its smallest doc_id)."""
     placed, classes, links = link_classes(documents, percent, words)
     labels = components(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     ids = placed.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -318,16 +325,26 @@ def similar_components(documents: DataFrame, percent: int = PERCENT, words: int
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = materialize(rooted.join(least, "root").select("class", "component_id"), "class-components")
     return placed.join(found, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "mark", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def similar_components(documents: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (its smallest doc_id)."""
+    return marked_components(documents, percent, words).drop("mark")
+
+
 def keep_one_of_each(documents: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """``documents`` with one document of each component: the one with the smallest doc_id.
 
-    Rows that share that id and belong to the component all stay; a null id stays.
+    Rows that share that id and belong to the component all stay; a null id stays. A row is
+    told from others of its id by its text, so a copy takes no other text of its id with it.
     """
-    found = similar_components(documents, percent, words)
+    found = marked_components(documents, percent, words)
     key = free_name(documents.columns, "copy_of")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
-    return documents.join(materialize(gone, "near-copies"), documents["doc_id"].cast("long") == F.col(key), "left_anti")
+    mark = free_name([*documents.columns, key], "copy_mark")
+    gone = found.where("component_id <> doc_id").select(
+        F.col("doc_id").alias(key), F.col("mark").alias(mark)).distinct()
+    return documents.join(
+        materialize(gone, "near-copies"),
+        (documents["doc_id"].cast("long") == F.col(key)) & (text_mark(documents["text"]) == F.col(mark)), "left_anti")

@@ -118,6 +118,14 @@ def test_ngram_join(spark, monkeypatch):
     assert ngram_join.keep_one_of_each(documents).count() == len(rows) - gone
 
 
+def test_a_copy_takes_no_other_text_of_its_id_with_it(spark):
+    t, u = (" ".join(f"{name}{i}" for i in range(30)) for name in "tu")
+    rows = [(3, t), (7, t), (7, u), (9, u), (7, None), (None, u), (9, "only here")]
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(
+        [(3, t), (7, u), (7, None), (None, u), (9, "only here")], key=repr)
+
+
 def test_all_similar_pairs(spark):
     rows = near_copies()
     sets = {brute.shingles(t) for _, t in rows} - {frozenset()}

@@ -1,7 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 1. One pass counts the corpus' short words; the commonest make the dictionary (a bounded list).
-2. Words that hold a long run of key characters are candidates, with the words around them.
+2. Every long run of key characters in a word is a candidate, with what names it: the text
+   before it in its part of the word, or the words before where that part assigns nothing.
 3. A candidate becomes figures: its length, transitions between kinds of characters, variety,
    the share of it that dictionary words cover, marks in its path, and what its neighbours say.
 4. A random forest, trained on at most ``TRAIN_FINDINGS`` labelled findings drawn by a hash,
@@ -32,6 +33,9 @@ DICTIONARY_WORDS = 300
 DICTIONARY_LENGTHS = (3, 7)
 THRESHOLD = 0.5
 VALUE = rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+# What ends a pair of name and value inside a word, and what assigns one to the other.
+BETWEEN_PAIRS = r"[,;&?|<>(){}\[\]]"
+ASSIGNS = r"=|:(?!/)"
 # Names of things that are kept secret, and path parts that hold examples.
 SECRET_NAME = r"(?i)(token|secret|passw|passwd|pwd|api.?key|access.?key|private.?key|credential|auth)"
 EXAMPLE_PATH = r"(?i)(^|[/_.-])(test|tests|example|examples|sample|samples|doc|docs|fixture|fixtures)([/_.-]|$)"
@@ -39,18 +43,51 @@ FEATURES = ("length", "digits", "upper", "to_digit", "to_letter", "case_changes"
             "covered", "example_path", "named", "assigned", "quoted")
 
 
+def _values(part: Column, is_first: Column) -> Column:
+    """The values of a part of a word that holds one pair at most, in order, as an array of
+    (value, named, assigned, alone, quoted). ``alone`` values have only the words before the
+    part to name them."""
+    values, gaps = F.regexp_extract_all(part, F.lit(f"({VALUE})"), 1), F.split(part, VALUE)
+    marks = F.transform(gaps, lambda gap: gap.rlike(ASSIGNS))
+    # Whether the part's first name says secret, and which value is the first after its mark.
+    secret = F.regexp_extract(part, f"(?s)^(.*?)(?:{ASSIGNS})", 1).rlike(SECRET_NAME)
+    # Facts about the whole part are found once and stand beside each value.
+    beside = lambda fact: F.array_repeat(fact, F.size(values))
+    met = F.arrays_zip(
+        values.alias("value"), gaps.alias("gap"), F.concat(F.array(F.lit("")), values).alias("last"),
+        beside(secret).alias("secret"), beside(F.array_position(marks, F.lit(True))).alias("mark"),
+        beside(part.rlike("[\"']")).alias("quoted"))
+    return F.filter(F.transform(met, lambda m, i: F.when(m["value"].isNotNull(), F.struct(
+        m["value"].alias("value"),
+        # A name may be as long as a value: then it is the run before this one.
+        (((m["mark"] > 0) & (m["mark"] <= i + 1) & m["secret"])
+         | (m["gap"].rlike(ASSIGNS) & F.concat(m["last"], m["gap"]).rlike(SECRET_NAME))
+         | ((m["mark"] == 0) & m["gap"].rlike(SECRET_NAME))).alias("named"),
+        ((m["mark"] > 0) & (m["mark"] <= i + 1)).alias("assigned"),
+        (is_first & ((m["mark"] == 0) | (m["mark"] > i + 1))).alias("alone"),
+        m["quoted"].alias("quoted")))), lambda m: m.isNotNull())
+
+
 def candidates(documents: DataFrame, path: Column) -> DataFrame:
-    """(doc_id, place, path, name, before, word, after, value): one row per candidate word."""
+    """(doc_id, place, part, path, value, named, assigned, quoted): one row per candidate, the
+    ``part``-th of the word number ``place``."""
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+")
     near = lambda i, n: F.coalesce(F.get(F.col("words"), i + n), F.lit(""))
     found = F.filter(F.transform("words", lambda w, i: F.when(
         (F.length(w) >= MIN_LENGTH) & w.rlike(VALUE),
-        F.struct(i.alias("place"), near(i, -2).alias("name"), near(i, -1).alias("before"), w.alias("word"), near(i, 1).alias("after"))
+        F.struct(i.alias("place"), w.alias("word"),
+                 F.concat_ws(" ", near(i, -2), near(i, -1)).rlike(SECRET_NAME).alias("named"),
+                 near(i, -1).rlike("[=:]$").alias("assigned"))
     )), lambda c: c.isNotNull())
     rows = documents.select("doc_id", path.alias("path"), words.alias("words"))
-    return rows.select("doc_id", "path", F.explode(found).alias("c")).select(
-        "doc_id", F.col("c.place").cast("long").alias("place"), "path", "c.name", "c.before", "c.word", "c.after",
-        F.regexp_extract("c.word", f"({VALUE})", 1).alias("value"))
+    met = rows.select("doc_id", "path", F.explode(found).alias("c"))
+    values = F.flatten(F.transform(F.split(F.col("c.word"), BETWEEN_PAIRS), lambda part, k: _values(part, k == 0)))
+    # The word, which may be a whole file, does not go along with each of its values.
+    return met.select("doc_id", "path", F.col("c.place").cast("long").alias("place"), F.col("c.named").alias("near_named"),
+                      F.col("c.assigned").alias("near_assigned"), F.posexplode(values).alias("part", "v")).select(
+        "doc_id", "place", "part", "path", "v.value",
+        (F.col("v.named") | (F.col("v.alone") & F.col("near_named"))).alias("named"),
+        (F.col("v.assigned") | (F.col("v.alone") & F.col("near_assigned"))).alias("assigned"), "v.quoted")
 
 
 def dictionary(documents: DataFrame) -> list[str]:
@@ -76,9 +113,7 @@ def describe(found: DataFrame, words: list[str]) -> DataFrame:
         "variety": F.size(F.array_distinct(F.split(value, ""))) / F.least(length, F.lit(64)),
         "hex": flag(value.rlike("^([0-9a-f]+|[0-9A-F]+)$")), "symbols": share("[+/_=-]"),
         "covered": 1 - left / length, "example_path": flag(F.col("path").rlike(EXAMPLE_PATH)),
-        "named": flag(F.concat_ws(" ", "name", "before", F.regexp_replace("word", VALUE + ".*$", "")).rlike(SECRET_NAME)),
-        "assigned": flag(F.col("before").rlike("[=:]$") | F.col("word").rlike("^[^=:]*[=:][\"']?[A-Za-z0-9]")),
-        "quoted": flag(F.col("word").rlike("[\"']")),
+        "named": flag(F.col("named")), "assigned": flag(F.col("assigned")), "quoted": flag(F.col("quoted")),
     })
 
 
@@ -116,11 +151,12 @@ def score(described: DataFrame, findings: DataFrame, limit: int = TRAIN_FINDINGS
 
 
 def scan(documents: DataFrame, path: Column, findings: DataFrame | None = None) -> DataFrame:
-    """(doc_id, place, value_sha256, length, score, is_secret) of every candidate. ``place`` is
-    the number of the word; values leave only as hashes. ``findings`` are labelled rows with
+    """(doc_id, place, part, value_sha256, length, score, is_secret) of every candidate. ``place``
+    is the number of the word and ``part`` that of the value in it; values leave only as hashes.
+    ``findings`` are labelled rows with
     the columns of FEATURES, label, doc_id, place and value."""
     described = materialize(describe(candidates(documents, path), dictionary(documents)), "secret-candidates")
     scored = score(described, label_by_assignment(described) if findings is None else findings)
-    return scored.select("doc_id", "place", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
+    return scored.select("doc_id", "place", "part", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
                          F.col("length").cast("int").alias("length"), "score",
                          (F.col("score") >= THRESHOLD).alias("is_secret"))

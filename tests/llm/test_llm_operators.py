@@ -327,3 +327,23 @@ def test_secret_scan(spark):
     assert secret_scan.scan(documents.where("false"), F.col("label")).count() == 0
     none = secret_scan.scan(documents.where("doc_id = 902"), F.col("label")).collect()
     assert [(r.score, r.is_secret) for r in none] == [(0.0, False)]
+
+
+def secrets_in(spark, text):
+    """(part, value, named, assigned) of the candidates of a text."""
+    documents = spark.createDataFrame([(1, text)], SCHEMA)
+    found = secret_scan.candidates(documents, F.lit("src")).orderBy("place", "part").collect()
+    return [(r.part, r.value, r.named, r.assigned) for r in found]
+
+
+def test_every_value_of_a_word_is_a_candidate(spark):
+    a, b, c = "aaaabbbbccccdddd1111", "eeeeffff00001111zzzz", "QQQQwwwwRRRRttttYYYY"
+    assert secrets_in(spark, f'{{"api_key":"{a}","other":"{b}","secret":"{c}"}}') == [
+        (0, a, True, True), (1, b, False, True), (2, c, True, True)]
+    assert secrets_in(spark, f"https://h.org/x?token={a}&page={b}") == [(0, a, True, True), (1, b, False, True)]
+    assert secrets_in(spark, f"Server=db;Password={a};Trace={b}") == [(0, a, True, True), (1, b, False, True)]
+    assert secrets_in(spark, f"1,{a},{b}") == [(0, a, False, False), (1, b, False, False)]
+    # All segments of a web token go by its name.
+    assert secrets_in(spark, f"token={a}.{b}.{c}") == [(0, a, True, True), (1, b, True, True), (2, c, True, True)]
+    documents = spark.createDataFrame([(i, f"token={a}.{b}.{i:020d}") for i in range(5)], SCHEMA)
+    assert secret_scan.scan(documents, F.lit("src")).select("value_sha256").distinct().count() == 7

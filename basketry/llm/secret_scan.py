@@ -32,7 +32,11 @@ TREES, DEPTH, SEED = 24, 6, 7
 DICTIONARY_WORDS = 300
 DICTIONARY_LENGTHS = (3, 7)
 THRESHOLD = 0.5
-VALUE = rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+# Runs of key characters; '=' only as the padding that completes groups of four at their end, so
+# that a value begins after its assignment mark. The '//' of a url belongs to no value.
+KEY = "[A-Za-z0-9+/_-]"
+PADDED = rf"(?:{KEY}{{4}}){{{MIN_LENGTH // 4 - 1},}}(?:{KEY}{{2}}==|{KEY}{{3}}=)(?![A-Za-z0-9+/_=-]|[\"'\\]+{KEY})"
+VALUE = rf"(?!(?<=:)//)(?:{PADDED}|{KEY}{{{MIN_LENGTH},}}+)"
 # What ends a pair of name and value inside a word, and what assigns one to the other.
 BETWEEN_PAIRS = r"[,;&?|<>(){}\[\]]"
 ASSIGNS = r"=|:(?!/)"

@@ -347,3 +347,19 @@ def test_every_value_of_a_word_is_a_candidate(spark):
     assert secrets_in(spark, f"token={a}.{b}.{c}") == [(0, a, True, True), (1, b, True, True), (2, c, True, True)]
     documents = spark.createDataFrame([(i, f"token={a}.{b}.{i:020d}") for i in range(5)], SCHEMA)
     assert secret_scan.scan(documents, F.lit("src")).select("value_sha256").distinct().count() == 7
+
+
+def test_a_value_begins_after_its_assignment_mark(spark):
+    v, padded = "abcdef0123456789abcd", "QUJDREVGR0hJSktMTU5PUA=="
+    long_name = "MY_SERVICE_SECRET_TOKEN1"
+    for text in (f"API_KEY={v}", f"api_key:{v}", f'API_KEY="{v}"', f"x token={v}", f"export API_KEY='{v}'"):
+        assert secrets_in(spark, text) == [(0, v, True, True)]
+    assert secrets_in(spark, f"COLOUR={v}") == [(0, v, False, True)]
+    for mark in ("=", ":", '="'):
+        assert secrets_in(spark, f"{long_name}{mark}{v}")[-1] == (1, v, True, True)
+    assert secrets_in(spark, f"API_KEY={padded}") == [(0, padded, True, True)]
+    assert secrets_in(spark, f'token="{padded}"') == [(0, padded, True, True)]
+    documents = spark.createDataFrame([(1, f"API_KEY={v}"), (2, f"OTHER_TOKEN={v}")], SCHEMA)
+    found = secret_scan.scan(documents, F.lit("src")).collect()
+    assert len({r.value_sha256 for r in found}) == 1 and {r.length for r in found} == {len(v)}
+    assert all(r.is_secret for r in found)

@@ -363,3 +363,27 @@ def test_a_value_begins_after_its_assignment_mark(spark):
     found = secret_scan.scan(documents, F.lit("src")).collect()
     assert len({r.value_sha256 for r in found}) == 1 and {r.length for r in found} == {len(v)}
     assert all(r.is_secret for r in found)
+
+
+def test_license_scan_reads_wrapped_notices_and_whole_licences(spark):
+    whole = {name: text for name, text in license_scan.all_templates() if text.count("\n") > 10}
+    commented = lambda text, mark="# ": "\n".join((mark + line).rstrip() for line in text.splitlines())
+    code = "\n\nimport os\n" + "".join(f"value{i} = call(value{i - 1}, {i})\n" for i in range(400))
+    gpl = lambda n: (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+        f"License as published by\nthe Free Software Foundation, either version {n} of the License, or\n(at your option) any later version.")
+    short = "This work is licensed under the GNU\nGeneral Public License,\nversion 3."
+    rows = [("a/x.py", commented("Copyright (c) 2020 Some One\n" + whole["BSD-2-Clause"]) + code, "BSD-2-Clause", "header"),
+            ("b/x.py", commented("Copyright (c) 2020 Some One\n\n" + whole["BSD-3-Clause"], "// ") + code, "BSD-3-Clause", "header"),
+            ("c/x.py", commented(whole["MIT"]) + code, "MIT", "header"), ("d/x.py", commented(gpl(3)) + code, "GPL-3.0", "header"),
+            ("e/x.py", commented(gpl(2), " * ") + code, "GPL-2.0", "header"), ("f/x.py", commented(short) + code, "GPL-3.0", "header"),
+            ("g/x.py", "/*\n" + whole["BSD-3-Clause"] + "*/" + code, "BSD-3-Clause", "header"),
+            ("p/x.py", "Permission is hereby\ngranted, free of charge, to any person obtaining a copy of this software and associated\n"
+             "documentation files, to deal in the Software without restriction" + code, "MIT", "header"),
+            ("q/x.txt", "The history of the copyright in books is long, and many of the rules that courts follow were made by the printers "
+             "of the towns, who had no wish to see the works that they paid for in the shops of others." + code, None, "none")]
+    rows += [(f"h{i}/COPYING", "Copyright 2020\n\n" + text, name, "file") for i, (name, text) in enumerate(sorted(whole.items()))]
+    rows += [(f"i{i}/terms", text, name, "file") for i, (name, text) in enumerate(sorted(whole.items()))]
+    documents = spark.createDataFrame([(i, p, t) for i, (p, t, *_) in enumerate(rows)], "doc_id long, path string, text string")
+    found = {r.doc_id: (r.license, r.how) for r in license_scan.scan(documents, F.col("path")).collect()}
+    assert found == {i: (name, how) for i, (_, _, name, how) in enumerate(rows)}

@@ -1,6 +1,11 @@
 """DuckDB text of the queries that SQL can express."""
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_CRC = """
+    xor(list_reduce(list_transform(range(0, length(key)), lambda i: CAST(ord(key[i + 1]) AS BIGINT)),
+        lambda crc, byte: list_reduce(range(0, 8),
+            lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+            xor(crc, byte)), 4294967295), 4294967295)"""
 _STRIP = r"'^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$'"
 
 LINE_DEDUP = f"""
@@ -43,8 +48,39 @@ pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(li
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM pairs)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 10"""
 
+# A turn's mark is the MD5 of its role's length, role and text; a path's name that of its marks.
+PREFIX_TRIE = f"""
+WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS place, mark, size
+    FROM (SELECT *, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS mark,
+                 strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL)),
+plan AS (SELECT conv_id, conv_id - conv_id % 5 AS head_of, {_CRC} % 9 AS h
+    FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS key FROM conversations WHERE conv_id IS NOT NULL)),
+laid AS (SELECT p.conv_id, 0 AS part, t.place, t.mark, t.size FROM plan p JOIN turns t ON t.conv_id = p.head_of AND t.place <= p.h
+    UNION ALL SELECT p.conv_id, 1, t.place, t.mark, t.size FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.place > p.h),
+paths AS (SELECT conv_id, list(mark ORDER BY part, place) AS marks, list(size ORDER BY part, place) AS sizes
+    FROM laid GROUP BY conv_id),
+whole AS (SELECT plan.conv_id, coalesce(marks, []) AS marks, coalesce(sizes, []) AS sizes FROM plan LEFT JOIN paths USING (conv_id)),
+steps AS (SELECT conv_id, d AS depth, md5(array_to_string(marks[1:d], ',')) AS node,
+        CASE WHEN d > 0 THEN md5(array_to_string(marks[1:d - 1], ',')) END AS parent, coalesce(sizes[d], 0) AS size,
+        d = len(marks) AS last
+    FROM (SELECT *, unnest(range(0, len(marks) + 1)) AS d FROM whole)),
+nodes AS (SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '') AS ends
+    FROM steps GROUP BY node, depth),
+born AS (SELECT parent, depth - 1 AS depth, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY ALL),
+known AS (SELECT nodes.*, coalesce(born.n, 0) AS n_children FROM nodes
+    LEFT JOIN born ON born.parent = nodes.node AND born.depth = nodes.depth),
+above AS (SELECT a.node, a.depth, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.size) AS saved
+    FROM known v JOIN steps s ON s.conv_id = v.conv_id AND s.depth <= v.depth JOIN known a ON a.node = s.node AND a.depth = s.depth
+    GROUP BY a.node, a.depth)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, a.n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens,
+       sha256(k.ends) AS ends_sha256
+FROM known k JOIN above a ON a.node = k.node AND a.depth = k.depth
+LEFT JOIN known p ON p.node = k.parent AND p.depth = k.depth - 1"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op5_decontamination": DECONTAMINATION,
     "op6_topk_search": TOPK_SEARCH,
+    "op11_prefix_trie": PREFIX_TRIE,
 }

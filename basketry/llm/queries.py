@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import (decontamination, license_scan, line_dedup, ngram_join, quality, secret_scan,
+from basketry.llm import (decontamination, license_scan, line_dedup, ngram_join, prefix_trie, quality, secret_scan,
                           sentence_pieces, token_counts, topk_search, url_filter)
 
 
@@ -69,6 +69,11 @@ def op10_ngram_join(spark, folder):
     return ngram_join.similar_components(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark, folder):
+    return prefix_trie.rebuilt_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_line_dedup, op2_secret_scan, op3_quality_classifier, op4_sentence_pieces, op5_decontamination,
-    op6_topk_search, op7_url_filter, op8_token_counts, op9_license_scan, op10_ngram_join)}
+    op6_topk_search, op7_url_filter, op8_token_counts, op9_license_scan, op10_ngram_join,
+    op11_prefix_trie)}

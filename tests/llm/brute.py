@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -79,3 +80,36 @@ def near_components(rows):
         least[top(i)].append(doc_id)
     smallest = {k: min((x for x in v if x is not None), default=None) for k, v in least.items()}
     return [(doc_id, len(s), smallest[top(i)] if s else doc_id) for i, ((doc_id, _), s) in enumerate(zip(rows, sets))]
+
+
+def tries(rows, family=5, heads=9):
+    """Rows of the prefix trie, from (conv_id, turn, role, text)."""
+    def mark(role, text):
+        return hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+
+    own = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            own[c].append(((turn is not None, turn or 0), mark(role, text), (role, text)))
+    own = {c: [t for _, _, t in sorted(turns)] for c, turns in own.items()}
+    members, told = collections.defaultdict(list), {}
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % heads
+        head = c - (abs(c) % family) * (1 if c >= 0 else -1)
+        path = tuple(own.get(head, [])[:h] + own[c][h:])
+        told[c] = path
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    children, leaves, saved = collections.Counter(), collections.Counter(), collections.Counter()
+    for path in members:
+        if path:
+            children[path[:-1]] += 1
+    for path, ids in members.items():
+        size = len(path[-1][1].encode()) if path else 0
+        for d in range(len(path) + 1):
+            saved[path[:d]] += (len(ids) - 1) * size
+            leaves[path[:d]] += path not in children
+    return [(ids[0], len(path), members[path[:-1]][0] if path else None, len(ids), children[path], leaves[path], saved[path],
+             hashlib.sha256(",".join(str(c) for c in ids if told[c] == path).encode()).hexdigest())
+            for path, ids in members.items()]

@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for source in ("documents", "benchmark", "embeddings", "pages", "labels"):
+    for source in ("documents", "benchmark", "embeddings", "pages", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {source} AS SELECT * FROM '{FOLDER}/{source}.parquet'")
     found = QUERIES[name](spark, FOLDER)
     columns = sorted(found.columns)

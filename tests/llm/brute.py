@@ -57,11 +57,11 @@ def shingles(text, size=5):
     return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
-def similar(a, b):
-    return 100 * len(a & b) >= 80 * len(a | b)
+def similar(a, b, percent=80):
+    return 100 * len(a & b) >= percent * len(a | b)
 
 
-def near_components(rows):
+def near_components(rows, percent=80):
     """(doc_id, size, component) by comparing all pairs; rows are nodes."""
     sets = [shingles(text) for _, text in rows]
     root = list(range(len(rows)))
@@ -73,7 +73,7 @@ def near_components(rows):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and similar(a, sets[j]):
+            if a and sets[j] and similar(a, sets[j], percent):
                 root[top(i)] = top(j)
     least = collections.defaultdict(list)
     for i, (doc_id, _) in enumerate(rows):

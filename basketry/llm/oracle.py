@@ -78,9 +78,33 @@ SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
 FROM known k JOIN above a ON a.node = k.node AND a.depth = k.depth
 LEFT JOIN known p ON p.node = k.parent AND p.depth = k.depth - 1"""
 
+PHRASE_COLLOCATIONS = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, unnest(range(1, 6)) s(size) WHERE len(w) >= size),
+counts AS (SELECT lang, CAST(size AS BIGINT) AS size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS a
+    FROM places GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, size, a, string_split(phrase, ' ') AS p, unnest(range(1, size)) AS k FROM counts WHERE size > 1),
+scored AS (SELECT c.lang, c.phrase, c.size, c.a, k, l.a AS l, r.a AS r, n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM cuts c JOIN totals USING (lang)
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(p[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(p[k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (SELECT lang, a, string_split(phrase, ' ') AS p, len, unnest(range(1, size - len + 2)) AS i
+    FROM counts, unnest(range(2, 5)) s(len) WHERE size > len),
+inside AS (SELECT lang, array_to_string(p[i:i + len - 1], ' ') AS phrase, max(a) AS most FROM parts GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE i.phrase IS NULL OR 100 * i.most < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op5_decontamination": DECONTAMINATION,
     "op6_topk_search": TOPK_SEARCH,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op12_phrase_collocations": PHRASE_COLLOCATIONS,
 }

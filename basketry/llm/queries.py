@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import (decontamination, license_scan, line_dedup, minhash, ngram_join, prefix_trie, quality,
-                          secret_scan, sentence_pieces, token_counts, topk_search, url_filter)
+from basketry.llm import (collocations, decontamination, license_scan, line_dedup, minhash, ngram_join, prefix_trie,
+                          quality, secret_scan, sentence_pieces, token_counts, topk_search, url_filter)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op11_prefix_trie(spark, folder):
     return prefix_trie.rebuilt_trie(table(spark, folder, "conversations"))
 
 
+def op12_phrase_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op13_minhash_dedup(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -80,4 +84,4 @@ def op13_minhash_dedup(spark, folder):
 QUERIES = {query.__name__: query for query in (
     op1_line_dedup, op2_secret_scan, op3_quality_classifier, op4_sentence_pieces, op5_decontamination,
     op6_topk_search, op7_url_filter, op8_token_counts, op9_license_scan, op10_ngram_join,
-    op11_prefix_trie, op13_minhash_dedup)}
+    op11_prefix_trie, op12_phrase_collocations, op13_minhash_dedup)}

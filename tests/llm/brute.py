@@ -113,3 +113,30 @@ def tries(rows, family=5, heads=9):
     return [(ids[0], len(path), members[path[:-1]][0] if path else None, len(ids), children[path], leaves[path], saved[path],
              hashlib.sha256(",".join(str(c) for c in ids if told[c] == path).encode()).hexdigest())
             for path, ids in members.items()]
+
+
+def phrases(rows, min_count, top, longest=5, share=100):
+    """(lang, rank, phrase, a, l, r, n, score) from (lang, text)."""
+    total, f = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for size in range(1, longest + 1):
+                f.update((lang, tuple(w[i:i + size])) for i in range(len(w) - size + 1))
+    found = collections.defaultdict(list)
+    frequent = {key: a for key, a in f.items() if a >= min_count and len(key[1]) > 1}
+    most = collections.Counter()
+    for (lang, p), a in frequent.items():
+        for size in range(2, len(p)):
+            for i in range(len(p) - size + 1):
+                most[lang, p[i:i + size]] = max(most[lang, p[i:i + size]], a)
+    for (lang, p), a in frequent.items():
+        if most[lang, p] * 100 >= a * share:
+            continue
+        cuts = [(1000 * a * total[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p))]
+        score, k = min(cuts)
+        found[lang].append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+    return [(lang, i, p.decode(), -a, l, r, total[lang], -score)
+            for lang, all_of in found.items() for i, (score, a, p, l, r) in enumerate(sorted(all_of)[:top], 1)]

@@ -1,31 +1,64 @@
-"""Association rules with every split of an itemset, and their text form."""
+"""Association rules, grown consequent by consequent, and their text form."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.errors import BasketDataError
 from basketry.functions.itemsets import itemset_json
+from basketry.session import materialize
 
 METRICS = ("support", "confidence", "lift", "leverage", "conviction")
 
 
-def _splits(itemsets: DataFrame) -> DataFrame:
-    """All ways to cut an itemset into a non-empty antecedent and consequent."""
-    size = F.col("length").cast("bigint")
-    last = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("length")) - 2
-    masked = itemsets.where(size >= 2).select(
-        "items", "support", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("mask")
-    )
+def _measured(cuts: DataFrame, known: DataFrame) -> DataFrame:
+    """Cut itemsets (items, support, consequents) with their antecedent, its support and the
+    confidence. Items of a set are sorted, so what a consequent leaves is again a key of the input."""
+    cuts = cuts.withColumn("antecedents", F.array_except("items", "consequents"))
+    left = known.select(F.col("items").alias("antecedents"), F.col("support").alias("_left"))
+    return cuts.join(left, "antecedents").select(
+        "items", "antecedents", "consequents", "support", "_left", (F.col("support") / F.col("_left")).alias("confidence"))
 
-    def side(bit):
-        return F.filter(
-            "items",
-            lambda _, i: F.call_function("shiftright", F.col("mask"), i).bitwiseAND(F.lit(1)) == bit,
-        )
 
-    return masked.select(
-        "support", side(1).alias("antecedents"), side(0).alias("consequents")
-    )
+def _longer_consequents(level: DataFrame, length: int) -> DataFrame:
+    """(items, support, consequents) with one item more than ``level`` has: of two consequents of
+    an itemset that differ in their last item only, if all others they hold are there as well.
+
+    A consequent longer by one item has a shorter antecedent, whose support is no smaller, so a
+    rule that fails takes every longer consequent with it.
+    """
+    sides = level.select("items", "support", F.slice("consequents", 1, length - 1).alias("head"),
+                         F.element_at("consequents", -1).alias("last"))
+    other = sides.select("items", "head", F.col("last").alias("further"))
+    grown = sides.join(other, ["items", "head"]).where(F.col("last") < F.col("further")).select(
+        "items", "support", F.concat("head", F.array("last", "further")).alias("consequents")
+    ).where(F.size("consequents") < F.size("items"))
+    if length < 2:
+        return grown
+    # Without its last item, or the one before it, a consequent is one of the two it came from.
+    shorter = grown.select("items", "consequents", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(length - 1)),
+        lambda gap: F.filter("consequents", lambda _, i: i + 1 != gap))).alias("shorter"))
+    broken = shorter.join(level.select("items", F.col("consequents").alias("shorter")),
+                          ["items", "shorter"], "left_anti")
+    return grown.join(broken.select("items", "consequents").distinct(), ["items", "consequents"], "left_anti")
+
+
+def _confident_cuts(itemsets: DataFrame, known: DataFrame, min_confidence: float | None) -> DataFrame:
+    """Cuts of all itemsets, level by level of their consequents. With ``min_confidence`` only
+    cuts that reach it, and rows made are those plus the ones that fail just beyond them."""
+    singles = itemsets.where(F.col("length") >= 2).select(
+        "items", "support", F.explode("items").alias("item")).select(
+        "items", "support", F.array("item").alias("consequents"))
+    found, cuts, length = None, singles, 1
+    while True:
+        level = _measured(cuts, known)
+        if min_confidence is not None:
+            level = level.where(F.col("confidence") >= min_confidence)
+        level = materialize(level, "rule-level")
+        found = level if found is None else found.unionAll(level)
+        if level.isEmpty():
+            return found
+        cuts, length = _longer_consequents(level, length), length + 1
 
 
 def generate_rules(
@@ -33,26 +66,23 @@ def generate_rules(
 ) -> DataFrame:
     """Rules whose ``metric`` reaches the threshold, over (items, support, length) itemsets.
 
-    Items of a set are sorted, so both sides of a split are again keys of the input.
+    By confidence, a consequent only grows while its rule holds, so the work follows the rules
+    that are kept. No other metric bounds longer consequents: for those every cut is looked at.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of: {', '.join(METRICS)}")
     known = itemsets.select("items", "support")
-
-    def supports(side, name):
-        return known.select(F.col("items").alias(side), F.col("support").alias(name))
-
-    both, left, right = F.col("support"), F.col("_left"), F.col("_right")
-    confidence = both / left
+    rights = known.select(F.col("items").alias("consequents"), F.col("support").alias("_right"))
+    cuts = _confident_cuts(itemsets, known, min_threshold if metric == "confidence" else None)
+    both, confidence = F.col("support"), F.col("confidence")
+    left, right = F.col("_left"), F.col("_right")
     rules = (
-        _splits(itemsets)
-        .join(supports("antecedents", "_left"), "antecedents")
-        .join(supports("consequents", "_right"), "consequents")
+        cuts.join(rights, "consequents")
         .select(
             "antecedents",
             "consequents",
             "support",
-            confidence.alias("confidence"),
+            "confidence",
             (confidence / right).alias("lift"),
             (both - left * right).alias("leverage"),
             F.when(confidence >= 1, F.lit(float("inf")))

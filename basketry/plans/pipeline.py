@@ -17,16 +17,20 @@ from basketry.errors import DataQualityError, PipelineError
 from basketry.operators import checks, transforms
 from basketry.operators.contracts import enforce_sources
 from basketry.plans.warehouse import (
-    CURRENT, Warehouse, current_run, open_warehouse, read_run, table_counts,
+    CURRENT, Warehouse, catalog_name, current_run, forget_facts, open_fact, open_warehouse,
+    read_run, table_counts,
 )
-from basketry.schemas import MUTABLE_TABLES, PARTITION_COLUMN, TABLES
-from basketry.session import together
+from basketry.schemas import BUCKET_COLUMN, MUTABLE_TABLES, PARTITION_COLUMN, TABLES
+from basketry.session import materialize, together
 from basketry.sources import storage
 
-# Lines are stored by range of order id: steps of half a million orders, but no fewer
-# than 8 ranges (small data) and no more directories than a listing can bear.
+# Lines are stored by range of order id: steps of half a million orders, but no fewer than 8
+# ranges (small data). Each directory holds a file per bucket, so there are few directories.
 RANGE_STEP = 500_000
-MIN_RANGES, MAX_RANGES = 8, 4_096
+MIN_RANGES, MAX_RANGES = 8, 64
+# Half a million orders to a bucket, which one task reads, as long as there are not too many.
+BUCKET_STEP = 500_000
+MIN_BUCKETS, MAX_BUCKETS = 8, 16_384
 
 
 def range_width(max_order_id: int) -> int:
@@ -34,24 +38,33 @@ def range_width(max_order_id: int) -> int:
     return max_order_id // ranges + 1
 
 
-def write_table(df: DataFrame, name: str, folder: str) -> int:
+def bucket_count(orders: int) -> int:
+    return min(max(orders // BUCKET_STEP + 1, MIN_BUCKETS), MAX_BUCKETS)
+
+
+def dealt(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows where their bucket's one writing task finds them; joins and groups on the bucket
+    column that follow need no exchange."""
+    return df.repartition(buckets, BUCKET_COLUMN)
+
+
+def write_table(df: DataFrame, name: str, folder: str, buckets: int = MIN_BUCKETS) -> int:
     """Write one table and return its row count, which comes from the file footers.
 
-    Partitioned facts are rebalanced on their directory column: adaptive execution cuts a
-    large directory into several tasks and merges small ones, so files keep an even size.
+    Facts go through the catalog, in directories and buckets; ``df`` should be ``dealt``, so that
+    a bucket is written by one task, in one file per directory.
     """
-    schema, path = TABLES[name], f"{folder}/{name}"
+    schema, path, spark = TABLES[name], f"{folder}/{name}", df.sparkSession
     df = df.select(*[F.col(field.name).cast(field.dataType) for field in schema])
     directory = PARTITION_COLUMN.get(name)
     if directory is None:
         df.write.parquet(path)
     else:
         (
-            df.hint("rebalance", F.col(directory))
-            .sortWithinPartitions(directory, "order_id")
-            .write.partitionBy(directory).parquet(path)
+            df.write.partitionBy(directory).bucketBy(buckets, BUCKET_COLUMN).sortBy(BUCKET_COLUMN)
+            .option("path", path).saveAsTable(catalog_name(folder, name))
         )
-    rows = df.sparkSession.read.schema(schema).parquet(path).count()
+    rows = spark.read.schema(schema).parquet(path).count()
     if not rows:
         raise DataQualityError(f"{name}: no rows were loaded")
     return rows
@@ -76,7 +89,7 @@ def ensure_empty_target(spark: SparkSession, root: str) -> None:
         )
 
 
-def _write_tables(sources: dict[str, DataFrame], folder: str, stages: list) -> int:
+def _write_tables(sources: dict[str, DataFrame], folder: str, stages: list) -> tuple[int, int]:
     spark = sources["orders"].sparkSession
 
     def stage(name, operation):
@@ -97,34 +110,35 @@ def _write_tables(sources: dict[str, DataFrame], folder: str, stages: list) -> i
         ])
         return sum(rows)
 
-    orders = transforms.transform_orders(sources["orders"])
-    top = sources["orders"].agg(F.max(F.col("order_id").cast("bigint"))).first()[0]
-    width = range_width(top)
+    sizes = sources["orders"].agg(
+        F.max(F.col("order_id").cast("bigint")).alias("top"), F.count(F.lit(1)).alias("n")).first()
+    width, buckets = range_width(sizes["top"]), bucket_count(sizes["n"])
+    orders = dealt(transforms.transform_orders(sources["orders"]), buckets)
 
     def details():
         lines = transforms.transform_order_details(sources["order_products_prior"]).unionByName(
             transforms.transform_order_details(sources["order_products_train"])
         )
-        resolved = transforms.resolve_detail_times(lines, orders).withColumn(
+        # The join leaves the lines where they were dealt, which is where they are written.
+        resolved = transforms.resolve_detail_times(dealt(lines, buckets), orders).withColumn(
             "order_range", F.call_function("div", F.col("order_id"), F.lit(width))
         )
-        return write_table(resolved, "fact_order_details", folder)
-
-    def written(name):
-        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
+        return write_table(resolved, "fact_order_details", folder, buckets)
 
     def order_facts():
-        metrics = transforms.order_metrics(written("fact_order_details"))
-        return write_table(transforms.apply_order_metrics(orders, metrics), "fact_orders", folder)
+        metrics = transforms.order_metrics(open_fact(spark, folder, "fact_order_details", buckets))
+        facts = transforms.apply_order_metrics(orders, metrics)
+        return write_table(facts, "fact_orders", folder, buckets)
 
     def users():
-        return write_table(transforms.populate_users(written("fact_orders")), "dim_user", folder)
+        facts = open_fact(spark, folder, "fact_orders", buckets)
+        return write_table(transforms.populate_users(facts), "dim_user", folder)
 
     stage("dimensions", dimensions)
     stage("order_details", details)
     stage("orders", order_facts)
     stage("derived_metrics", users)
-    return width
+    return width, buckets
 
 
 def build_warehouse(
@@ -158,21 +172,24 @@ def build_warehouse(
         pointer = f"{root}/{CURRENT}"
         replaced = json.loads(storage.read_text(spark, pointer))["run_id"] if (
             reset and storage.exists(spark, pointer)) else None
-        width = _write_tables(sources, folder, stages)
-        wh = read_run(spark, folder, width)
+        width, buckets = _write_tables(sources, folder, stages)
+        wh = read_run(spark, folder, width, buckets)
         _, _, report["quality_checks"], report["table_counts"] = together(
             lambda: checks.require_resolved_details(wh),
             lambda: checks.require_derived_metrics(wh),
             lambda: checks.require_warehouse(wh),
             lambda: count_rows(wh),
         )
-        storage.write_text(spark, pointer, json.dumps({"run_id": run_id, "range_width": width}))
+        current = {"run_id": run_id, "range_width": width, "buckets": buckets}
+        storage.write_text(spark, pointer, json.dumps(current))
         if replaced:
+            forget_facts(spark, f"{root}/{replaced}")
             storage.delete(spark, f"{root}/{replaced}")
         report["status"] = "succeeded"
         return wh, report
     except Exception as error:
         report.update(status="failed", error_type=type(error).__name__, error=str(error))
+        forget_facts(spark, folder)
         storage.delete(spark, folder)
         raise
     finally:
@@ -183,6 +200,39 @@ def build_warehouse(
         )
 
 
+def resolve_stored_times(wh: Warehouse, orders: DataFrame | None = None) -> DataFrame:
+    """Bring the stored lines' time keys up to those of ``orders`` (the stored ones unless given);
+    (order_range, updated_lines) of the ranges that were rewritten.
+
+    Lines meet their orders bucket by bucket. Only ranges with a line that is open or differs are
+    read again, written aside and then swapped in by a dynamic overwrite; all other directories
+    stay as they are, and so does everything on a second run. Swapping is a rename per directory:
+    a run that ends in between leaves whole directories, old or new, and can be repeated. Raises
+    if a line is still open, differs or has no order afterwards.
+    """
+    spark, name = wh.spark, "fact_order_details"
+    parents = wh.fact_orders if orders is None else orders
+    changes = materialize(
+        transforms.resolve_detail_times(wh.fact_order_details, parents).where("changed")
+        .groupBy("order_range").agg(F.count(F.lit(1)).alias("updated_lines")), "changed-ranges")
+    ranges = [row.order_range for row in changes.select("order_range").collect()]
+    if ranges:
+        columns = [field.name for field in TABLES[name]]
+        stale = wh.fact_order_details.where(F.col("order_range").isin(ranges))
+        fresh = materialize(
+            transforms.resolve_detail_times(stale, parents).select(*columns), "resolved-lines")
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            dealt(fresh, wh.buckets).write.insertInto(catalog_name(wh.folder, name), overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
+    stored = wh.replaced(fact_order_details=open_fact(spark, wh.folder, name, wh.buckets))
+    checks.require_resolved_details(stored if orders is None else stored.replaced(fact_orders=orders))
+    return changes
+
+
 def validate_warehouse(spark: SparkSession, root: str) -> dict:
     """Check an existing load without loading anything."""
     wh = open_warehouse(spark, root)

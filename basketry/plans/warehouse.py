@@ -1,12 +1,18 @@
-"""A loaded warehouse: seven tables on shared storage, read with fixed schemas."""
+"""A loaded warehouse: seven tables on shared storage, read with fixed schemas.
 
+Both facts are bucketed by order id, which only the catalog can tell Spark. Their tables are
+entered in the session's catalog as external ones, named by their folder; a session that does
+not know them yet enters them when it opens the warehouse.
+"""
+
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.errors import PipelineError
-from basketry.schemas import TABLES
+from basketry.schemas import BUCKET_COLUMN, PARTITION_COLUMN, TABLES
 from basketry.session import size_shuffles
 from basketry.sources import storage
 
@@ -17,13 +23,15 @@ BYTES_PER_TASK = 32 * 1024 * 1024
 class Warehouse:
     """The seven tables as attributes; nothing is read before an action needs it."""
 
-    def __init__(self, tables: dict[str, DataFrame], range_width: int, folder: str | None = None):
+    def __init__(self, tables: dict[str, DataFrame], range_width: int, folder: str | None = None,
+                 buckets: int | None = None):
         missing = [name for name in TABLES if name not in tables]
         if missing:
             raise PipelineError(f"Missing warehouse tables: {', '.join(missing)}")
         self._tables = {name: tables[name] for name in TABLES}
         self.range_width = range_width
         self.folder = folder
+        self.buckets = buckets
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._tables:
@@ -48,7 +56,7 @@ class Warehouse:
 
     def replaced(self, **tables: DataFrame) -> "Warehouse":
         """The same warehouse with some tables swapped."""
-        return Warehouse({**self._tables, **tables}, self.range_width, self.folder)
+        return Warehouse({**self._tables, **tables}, self.range_width, self.folder, self.buckets)
 
     def details_in_range(self, low: int, high: int) -> DataFrame:
         """Lines with ``low <= order_id < high``, naming the directories that can hold them."""
@@ -66,13 +74,38 @@ def current_run(spark: SparkSession, root: str) -> dict | None:
     return json.loads(storage.read_text(spark, path))
 
 
-def read_run(spark: SparkSession, folder: str, range_width: int) -> Warehouse:
+def catalog_name(folder: str, table: str) -> str:
+    return f"basketry_{hashlib.md5(folder.encode()).hexdigest()[:16]}_{table}"
+
+
+def open_fact(spark: SparkSession, folder: str, table: str, buckets: int) -> DataFrame:
+    """A bucketed fact through the catalog, entered there if the session does not know it."""
+    name = catalog_name(folder, table)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table])
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"PARTITIONED BY ({PARTITION_COLUMN[table]}) CLUSTERED BY ({BUCKET_COLUMN}) "
+            f"SORTED BY ({BUCKET_COLUMN}) INTO {buckets} BUCKETS LOCATION '{folder}/{table}'"
+        )
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
+def forget_facts(spark: SparkSession, folder: str) -> None:
+    """Take the facts of a folder out of the catalog; their files are left alone."""
+    for table in PARTITION_COLUMN:
+        spark.sql(f"DROP TABLE IF EXISTS {catalog_name(folder, table)}")
+
+
+def read_run(spark: SparkSession, folder: str, range_width: int, buckets: int | None = None) -> Warehouse:
     size_shuffles(spark, storage.size_bytes(spark, folder))
     tables = {
-        name: spark.read.schema(schema).parquet(f"{folder}/{name}")
+        name: open_fact(spark, folder, name, buckets) if buckets and name in PARTITION_COLUMN
+        else spark.read.schema(schema).parquet(f"{folder}/{name}")
         for name, schema in TABLES.items()
     }
-    return Warehouse(tables, range_width, folder)
+    return Warehouse(tables, range_width, folder, buckets)
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
@@ -80,7 +113,8 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     run = current_run(spark, root)
     if run is None:
         raise PipelineError(f"No loaded warehouse in {root}")
-    return read_run(spark, f"{root.rstrip('/')}/{run['run_id']}", run["range_width"])
+    folder = f"{root.rstrip('/')}/{run['run_id']}"
+    return read_run(spark, folder, run["range_width"], run.get("buckets"))
 
 
 def table_counts(wh: Warehouse) -> DataFrame:

@@ -65,6 +65,9 @@ TABLES = {
 # Directory column of each partitioned fact; the column comes last in the schema.
 PARTITION_COLUMN = {"fact_orders": "order_dow", "fact_order_details": "order_range"}
 
+# Both facts are dealt into the same number of buckets by this column, sorted by it inside.
+BUCKET_COLUMN = "order_id"
+
 # Tables a load writes and a reset replaces; dim_time is generated, not loaded.
 MUTABLE_TABLES = tuple(name for name in TABLES if name != "dim_time")
 

@@ -118,6 +118,48 @@ def test_rules_match_brute_force(spark):
         assert found[key] == pytest.approx(values)
 
 
+@pytest.mark.parametrize("metric, threshold", [("lift", 1.1), ("support", 0.2), ("leverage", 0.01), ("conviction", 1.2)])
+def test_rules_by_other_metrics_match_brute_force(spark, metric, threshold):
+    prepared = B.prepare_baskets(lines_of(spark, BASKETS), min_items=2)
+    counts, n, expected = brute_itemsets(BASKETS, 0.05), len(BASKETS), set()
+    for group, freq in counts.items():
+        for size in range(1, len(group)):
+            for left in combinations(group, size):
+                right = tuple(i for i in group if i not in left)
+                support, a, c = freq / n, counts[left] / n, counts[right] / n
+                confidence = support / a
+                value = {"lift": confidence / c, "support": support, "leverage": support - a * c,
+                         "conviction": inf if confidence >= 1 else (1 - c) / (1 - confidence)}[metric]
+                if value >= threshold:
+                    expected.add((left, right))
+    found = R.generate_rules(I.frequent_itemsets(prepared, 0.05), metric, threshold)
+    assert {(tuple(r.antecedents), tuple(r.consequents)) for r in found.collect()} == expected
+
+
+def test_rules_of_a_long_itemset_grow_only_while_they_hold(spark, monkeypatch):
+    """Of 2^70 cuts only those are made whose shorter consequents hold."""
+    items = [f"{i:02}" for i in range(70)]
+    without = lambda *gone: [i for i in items if i not in gone]
+    rows = [(items, 0.1)] + [([i], 0.5) for i in items]
+    # Three single consequents hold, and two of the three pairs.
+    rows += [(without(i), 0.12 if i in ("00", "01", "02") else 0.9) for i in items]
+    rows += [(without("00", "01"), 0.125), (without("00", "02"), 0.2), (without("01", "02"), 0.9),
+             (["00", "01"], 0.4), (["00", "02"], 0.4), (without("00", "01", "02"), 0.2), (["00", "01", "02"], 0.3)]
+    frame = spark.createDataFrame([(i, s, len(i)) for i, s in rows], "items array<string>, support double, length int")
+    frame, made = frame.where("length = 70 or length < 4").unionByName(frame.where("length between 66 and 69")), []
+
+    def write(df, name, *rest, materialize=R.materialize):
+        made.append(materialize(df, name, *rest))
+        return made[-1]
+
+    monkeypatch.setattr(R, "materialize", write)
+    found = R.generate_rules(frame, min_threshold=0.5)
+    long = {tuple(r.consequents) for r in found.collect() if len(r.antecedents) > 60}
+    assert long == {("00",), ("01",), ("02",), ("00", "01"), ("00", "02")}
+    # Every row that was written is a rule that holds; nothing else was made.
+    assert sum(df.count() for df in made) == found.count()
+
+
 def test_certain_rules_have_infinite_conviction(spark):
     prepared = B.prepare_baskets(lines_of(spark, [[1, 2], [1, 2], [2, 3]]))
     rules = R.generate_rules(I.frequent_itemsets(prepared, 0.3), min_threshold=1.0)

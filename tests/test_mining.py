@@ -144,7 +144,7 @@ def test_rules_of_a_long_itemset_grow_only_while_they_hold(spark, monkeypatch):
     # Three single consequents hold, and two of the three pairs.
     rows += [(without(i), 0.12 if i in ("00", "01", "02") else 0.9) for i in items]
     rows += [(without("00", "01"), 0.125), (without("00", "02"), 0.2), (without("01", "02"), 0.9),
-             (["00", "01"], 0.4), (["00", "02"], 0.4), (without("00", "01", "02"), 0.2), (["00", "01", "02"], 0.3)]
+             (["00", "01"], 0.4), (["00", "02"], 0.4), (["01", "02"], 0.4), (without("00", "01", "02"), 0.2), (["00", "01", "02"], 0.3)]
     frame = spark.createDataFrame([(i, s, len(i)) for i, s in rows], "items array<string>, support double, length int")
     frame, made = frame.where("length = 70 or length < 4").unionByName(frame.where("length between 66 and 69")), []
 

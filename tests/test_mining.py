@@ -154,7 +154,8 @@ def test_rules_of_a_long_itemset_grow_only_while_they_hold(spark, monkeypatch):
 
     monkeypatch.setattr(R, "materialize", write)
     found = R.generate_rules(frame, min_threshold=0.5)
-    long = {tuple(r.consequents) for r in found.collect() if len(r.antecedents) > 60}
+    long = {tuple(r.consequents) for r in found.collect()
+            if len(r.antecedents) + len(r.consequents) == 70}
     assert long == {("00",), ("01",), ("02",), ("00", "01"), ("00", "02")}
     # Every row that was written is a rule that holds; nothing else was made.
     assert sum(df.count() for df in made) == found.count()

@@ -300,6 +300,17 @@ def _named_rules(wh):
     return materialize(rules, "named-rules")
 
 
+_KEPT_RULES: dict[tuple, DataFrame] = {}
+
+
+def _kept_rules(wh):
+    """The rules that carts are matched with: mined once for a loaded warehouse, then an artifact."""
+    key = (wh.spark.sparkContext.applicationId, wh.folder)
+    if key not in _KEPT_RULES:
+        _KEPT_RULES[key] = _named_rules(wh)
+    return _KEPT_RULES[key]
+
+
 def _rule_names(wh):
     return _named_rules(wh).select(
         itemset_json(F.col("antecedents")).alias("antecedents_json"),
@@ -479,11 +490,11 @@ def mixed_carts(wh):
 
 
 def resolve_item_space(wh):
-    return R.resolve_item_space(mixed_carts(wh), _named_rules(wh)).select("cart_id", "space")
+    return R.resolve_item_space(mixed_carts(wh), _kept_rules(wh)).select("cart_id", "space")
 
 
 def recommend_by_rules(wh):
-    return rounded(R.recommend_by_rules(mixed_carts(wh), _named_rules(wh), 5), 12)
+    return rounded(R.recommend_by_rules(mixed_carts(wh), _kept_rules(wh), 5), 12)
 
 
 def cluster_popularity(wh):
@@ -494,13 +505,13 @@ def recommend_by_cluster(wh):
     labels = R.require_labels(_segment_labels(wh))
     carts = R.last_order_carts(wh).withColumn("space", F.lit("name"))
     popular = R.cluster_popularity(wh, labels, R.candidate_limit(wh, carts, 5))
-    return R.recommend_by_cluster(carts, labels, popular, 5, wh.task_width)
+    return R.recommend_by_cluster(carts, labels, popular, 5)
 
 
 def hybrid_recommend(wh):
     labels = R.require_labels(_segment_labels(wh))
     return R.hybrid_recommend(
-        wh, R.last_order_carts(wh), _named_rules(wh), labels, 10, item_space="name"
+        wh, R.last_order_carts(wh), _kept_rules(wh), labels, 10, item_space="name"
     )
 
 

@@ -160,10 +160,16 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, max_share: flo
                       size: int = WINDOW_WORDS) -> DataFrame:
     """``documents`` without those of whose words more than ``max_share`` lie in test windows.
 
-    Only the ids of rejected documents are joined back. Documents that share an id share its
-    fate: the id goes if any of its rows is rejected. A null id is an id like any other.
+    What a row loses depends on its text alone, so rows go by their text, not by their id: clean
+    rows that share an id with a rejected one, or have none, all stay. Only the marks of rejected
+    texts, two 64-bit hashes, are joined back.
     """
-    key = free_name(documents.columns, "rejected")
-    found = exact_matches(documents, benchmark, size).where(
-        F.col("n_hit") > max_share * F.col("n_words")).select(F.col("doc_id").alias(key)).distinct()
-    return documents.join(materialize(found, "contaminated"), documents["doc_id"].eqNullSafe(F.col(key)), "left_anti")
+    text = F.col("text").cast("string")
+    marks = {"m1": F.xxhash64(text), "m2": F.xxhash64(F.lit(1), text, F.length(text))}
+    marked = documents.select(F.struct(*[mark.alias(name) for name, mark in marks.items()]).alias("doc_id"), "text")
+    found = exact_matches(marked, benchmark, size).where(
+        F.col("n_hit") > max_share * F.col("n_words")).select("doc_id.m1", "doc_id.m2").distinct()
+    found = small_broadcast(materialize(found, "contaminated"), SMALL_SIDE)
+    names = [free_name(documents.columns, name) for name in marks]
+    return documents.join(
+        found.toDF(*names), (marks["m1"] == F.col(names[0])) & (marks["m2"] == F.col(names[1])), "left_anti")

@@ -8,17 +8,18 @@ _CRC = """
             xor(crc, byte)), 4294967295), 4294967295)"""
 _STRIP = r"'^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$'"
 
+# A row is a document; a null id is below all others.
 LINE_DEDUP = f"""
-WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
-lines AS (SELECT doc_id, unnest(all_lines) AS line, unnest(range(len(all_lines))) AS place FROM texts),
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
+lines AS (SELECT row, doc_id, unnest(all_lines) AS line, unnest(range(len(all_lines))) AS place FROM texts),
 keyed AS (SELECT *, translate(regexp_replace(line, {_STRIP}, '', 'g'), {_UPPER}, {_LOWER}) AS key FROM lines),
 repeated AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
-             GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
-judged AS (SELECT k.doc_id, k.line, k.place, r.key IS NOT NULL AND r.keeper <> k.doc_id AS gone
+             GROUP BY key HAVING count(DISTINCT row) >= 3),
+judged AS (SELECT k.row, k.doc_id, k.line, k.place, r.key IS NOT NULL AND r.keeper IS DISTINCT FROM k.doc_id AS gone
            FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id"""
+FROM judged GROUP BY row"""
 
 DECONTAMINATION = rf"""
 WITH doc_words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}),

@@ -69,12 +69,32 @@ def test_decontamination(spark):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = [(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in decontamination.exact_matches(documents, benchmark).collect()]
     assert sorted(found, key=repr) == sorted(brute.contaminated(TEXTS, ITEMS), key=repr)
+    # The clean row that shares its id with a rejected one stays, "alpha beta again" is one of two that go.
     assert sorted(r.doc_id for r in decontamination.drop_contaminated(documents, benchmark).collect()) == [3, 4, 8]
     assert decontamination.exact_matches(empty(spark), benchmark).count() == 0
     clean = decontamination.exact_matches(documents, benchmark.where("false"))
     assert clean.where("n_hit > 0").count() == 0 and clean.count() == len(TEXTS)
 
 
+def test_rows_are_rejected_by_their_text(spark):
+    dirty, clean = "well, alpha beta it is", "nothing of that sort"
+    rows = [(None, clean), (None, dirty), (5, clean), (5, dirty), (5, dirty), (6, clean), (None, None), (7, "")]
+    documents = spark.createDataFrame([(*r, 1, 2) for r in rows], f"{SCHEMA}, m1 int, M2 int")
+    kept = decontamination.drop_contaminated(documents, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert kept.columns == documents.columns
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=repr) == sorted(
+        [r for r in rows if r[1] != dirty], key=repr)
+
+
+def test_lines_of_repeated_and_missing_ids(spark):
+    rows = [(1, f"{LONG}\na"), (1, f"{LONG}\nb"), (1, f"{LONG}\nb"), (None, f"{LONG}\nc"), (None, "c"), (0, f"x\n{LONG}")]
+    only_null = [(None, f"another line that is long enough {i % 1}") for i in range(4)]
+    for table in (rows, only_null, rows + only_null):
+        found = line_dedup.dedup_lines(spark.createDataFrame(table, SCHEMA))
+        found = found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256)).collect()
+        assert sorted(map(tuple, found), key=repr) == sorted(brute.line_dedup(table), key=repr)
+
+
 def test_decontamination_needs_no_python(spark):
     documents = spark.createDataFrame(TEXTS, SCHEMA)
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")

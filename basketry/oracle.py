@@ -964,6 +964,9 @@ _QUERIES = {
         GROUP BY order_id HAVING count(*) >= 2""",
     "frequent_itemsets": _itemset_rows("aisle_sets"),
     "frequent_itemsets_products": _itemset_rows("product_sets"),
+    "closed_itemsets": _itemset_rows("""(SELECT * FROM product_sets p WHERE NOT EXISTS (
+        SELECT 1 FROM product_sets q WHERE q.length = p.length + 1 AND q.freq = p.freq
+        AND list_has_all(q.items, p.items)))"""),
     "apriori_itemsets": _itemset_rows("aisle_sets"),
     "generate_rules": _rule_rows("aisle_rules"),
     "generate_rules_products": _rule_rows("product_rules"),

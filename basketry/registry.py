@@ -272,7 +272,7 @@ def _aisle_itemsets(wh, mine=I.frequent_itemsets):
     return mine(_baskets(wh, "aisle"), AISLE_SUPPORT)
 
 
-def _mined_products(wh, mine=I.frequent_itemsets):
+def _mined_products(wh, mine=I.frequent_itemsets_by_closure):
     baskets = _baskets(wh, "product")
     return baskets, mine(baskets, min(1.0, PRODUCT_MIN_COUNT / baskets.count))
 
@@ -281,6 +281,10 @@ def _product_itemsets(wh):
     return _mined_products(wh)[1]
 
 
+def closed_itemsets(wh):
+    return _itemset_rows(_mined_products(wh, I.closed_itemsets)[1])
+
+
 def _itemset_rows(itemsets):
     return I.ordered_itemsets(itemsets).select(
         itemset_json(F.col("items")).alias("itemsets_json"), "freq", "support", "length"
@@ -625,6 +629,7 @@ QUERIES = {
         _baskets(wh, "product", top_n=500).frame)),
     "frequent_itemsets": _warehouse(lambda wh: _itemset_rows(_aisle_itemsets(wh))),
     "frequent_itemsets_products": _warehouse(lambda wh: _itemset_rows(_product_itemsets(wh))),
+    "closed_itemsets": _warehouse(closed_itemsets),
     "apriori_itemsets": _warehouse(
         lambda wh: _itemset_rows(_aisle_itemsets(wh, I.apriori_itemsets))),
     "generate_rules": _warehouse(lambda wh: RU.rule_json(_aisle_rules(wh))),

@@ -69,7 +69,7 @@ def test_top_items_break_ties_by_text(spark):
     assert tied == [("10", 1)]
 
 
-@pytest.mark.parametrize("mine", [I.frequent_itemsets, I.apriori_itemsets])
+@pytest.mark.parametrize("mine", [I.frequent_itemsets, I.apriori_itemsets, I.frequent_itemsets_by_closure])
 @pytest.mark.parametrize("support", [0.05, 0.15])
 def test_itemsets_match_brute_force(spark, mine, support):
     prepared = B.prepare_baskets(lines_of(spark, BASKETS), min_items=2)
@@ -78,6 +78,35 @@ def test_itemsets_match_brute_force(spark, mine, support):
     assert max(map(len, found)) >= 2
 
 
+def brute_closed(counts):
+    return {g: n for g, n in counts.items() if not any(n == m and set(g) < set(h) for h, m in counts.items())}
+
+
+@pytest.mark.parametrize("baskets, support", [
+    (BASKETS, 0.05), (BASKETS, 0.2), ([[1, 2, 3], [1, 2, 3, 4], [1, 2]], 0.3), ([[9, 8], [8, 9]], 0.5),
+    ([[i for i in range(1, 8) if i != gap] for gap in range(1, 8)], 0.2),
+    ([list(range(1, n)) for n in range(3, 7)], 0.1)])
+def test_closed_itemsets_match_brute_force(spark, monkeypatch, baskets, support):
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    counts = brute_itemsets(baskets, support)
+    closed = I.closed_itemsets(prepared, support)
+    found = [(tuple(r["items"]), r.freq) for r in closed.collect()]
+    assert len(found) == len(dict(found)) and dict(found) == brute_closed(counts)
+    short = I.itemsets_of_closed(closed, prepared, 2)
+    assert {tuple(r["items"]): r.freq for r in short.collect()} == {g: n for g, n in counts.items() if len(g) < 3}
+
+
+def test_two_equal_long_baskets_end(spark, monkeypatch):
+    """Their frequent itemsets are 2^40; they are stored as one, and derived as far as wanted."""
+    monkeypatch.setattr(I, "SMALL_LEVEL", 0)
+    prepared = B.prepare_baskets(lines_of(spark, [list(range(100, 140))] * 2 + [[100, 7], [7, 5]]), min_items=2)
+    closed = I.closed_itemsets(prepared, 2 / prepared.count)
+    assert sorted((r.length, r.freq) for r in closed.collect()) == [(1, 2), (1, 3), (40, 2)]
+    pairs = I.itemsets_of_closed(closed, prepared, 2)
+    assert pairs.groupBy("length", "freq").count().count() == 3
+    assert pairs.where("length = 2").count() == 780 and pairs.where("length = 1").count() == 41
+
+
 def test_apriori_without_broadcasts_and_without_python(spark, monkeypatch):
     monkeypatch.setattr(I, "SMALL_LEVEL", 0)
     prepared = B.prepare_baskets(lines_of(spark, BASKETS), min_items=2)

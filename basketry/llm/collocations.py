@@ -6,10 +6,11 @@
 2. A task counts the phrases of its texts in a HAT-trie: a shallow trie over the first word ids
    whose leaves are hash containers of the remaining ids. A container that grows too large bursts
    into children by its next word. Beyond ``ROOM`` entries the largest subtrees are spilled whole,
-   each as one sorted run.
-3. Runs are dealt by prefix, the first word (those of a word that holds a large share of all
-   words by a hash of the rest as well), and sorted, so that a prefix' runs follow one another and
-   are merged with one prefix in memory. Phrases below the minimum count end there.
+   as a sorted run, cut into rows by prefix partition.
+3. A prefix partition holds the phrases of some first words; a word that holds a large share of
+   all words is spread over several by a hash of the rest. A partition's runs follow one another
+   and are merged in memory, and phrases below the minimum count end there. A partition with more
+   than ``MERGE_ROOM`` distinct phrases passes on partial counts, which one aggregate adds up.
 4. What is left are the frequent phrases of one to five words, which hold both parts of every cut.
    Scores are whole numbers of up to 38 digits.
 5. A phrase inside a longer one with as large a share is inside one that is a word longer, for
@@ -22,6 +23,7 @@ ones change nothing. Equal scores go by count, then by phrase. An empty table gi
 result. Two words with one id would count as one; 64 bits make that improbable, not impossible.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +43,14 @@ BURST = 1 << 12
 ROOM = 1 << 19
 CHUNK_BYTES = 1 << 22
 # A row holds so many entries of a run at most, which bounds the batches that a merge reads.
-RUN_ENTRIES = 1 << 9
+RUN_ENTRIES = 1 << 8
 # Bits of the bitmaps of frequent words and pairs: four and eight MB, however large the corpus.
 WORD_BITS, PAIR_BITS = 1 << 25, 1 << 26
 # Prefixes hold so many words at most, or this share of all; larger ones are split.
 GRAIN, GRAIN_SHARE = 1 << 16, 1 << 20
+# Prefix partitions: one per so many words of the corpus, and distinct phrases that one merges.
+PART_WORDS, LEAST_PARTS, MOST_PARTS = 1 << 20, 64, 1 << 16
+MERGE_ROOM = 1 << 20
 # The totals of languages are broadcast up to so many rows.
 SMALL_SIDE = 100_000
 
@@ -158,77 +163,91 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 class HatTrie:
-    """Counts of id sequences of one length. ``tails`` are the ids after the first, as bytes."""
+    """Counts of id sequences of one length: by first id, then by the bytes of the ids after it."""
 
     def __init__(self, size: int):
-        self.size, self.roots, self.held, self.entries = size, {}, {}, 0
-
-    def add(self, first: int, tails: list[bytes], counts: list[int]) -> None:
-        node, grown = _insert(self.roots.get(first, {}), tails, counts, self.size - 1)
-        self.roots[first] = node
-        self.held[first] = self.held.get(first, 0) + grown
-        self.entries += grown
+        self.size, self.roots, self.entries = size, {}, 0
 
     def add_rows(self, rows: np.ndarray) -> None:
         """Counts every row of a matrix of ids."""
-        rows, counts = distinct_rows(rows)
-        packed, width = rows[:, 1:].tobytes(), 8 * (self.size - 1)
-        tails, counts = [packed[i:i + width] for i in range(0, len(packed), width)], counts.tolist()
-        starts = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0]))).tolist()
-        for a, b in zip(starts, [*starts[1:], len(rows)]):
-            self.add(int(rows[a, 0]), tails[a:b], counts[a:b])
-
-    def spill(self, room: int) -> Iterator[tuple[int, list[bytes], list[int]]]:
-        """Takes out the largest subtrees until ``room`` entries are left: (first, tails in order, counts)."""
-        for first in sorted(self.held, key=self.held.get, reverse=True):
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        tails = np.ascontiguousarray(rows[:, 1:]).view(f"V{8 * (self.size - 1)}").ravel().tolist()
+        starts = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
+        for first, a, b in zip(rows[starts, 0].tolist(), starts.tolist(), [*starts[1:].tolist(), len(rows)]):
+            node = self.roots.get(first)
+            if node is None:
+                node = self.roots[first] = Container()
+            before = node.held
+            self.roots[first] = node = node.counted(tails[a:b], self.size - 1)
+            self.entries += node.held - before
+
+    def spill(self, room: int) -> tuple[np.ndarray, np.ndarray]:
+        """Takes out the largest subtrees until ``room`` entries are left: their rows in order, and counts."""
+        firsts, lengths, tails, counts = [], [], [], []
+        for first in sorted(self.roots, key=lambda first: self.roots[first].held, reverse=True):
             if self.entries <= room:
                 break
-            self.entries -= self.held.pop(first)
-            entries = sorted(_entries(self.roots.pop(first), b""))
-            yield first, [tail for tail, _ in entries], [count for _, count in entries]
-
-
-class _Burst(dict):
-    """A container that has burst: children by the next id."""
-
-
-def _insert(node: dict, tails: list[bytes], counts: list[int], ids: int) -> tuple[dict, int]:
-    """The node with the tails of so many ids added, burst if it had to be, and how it grew."""
-    grown = 0
-    if isinstance(node, _Burst):
-        for tail, count in zip(tails, counts):
-            head = tail[:8]
-            node[head], more = _insert(node.get(head, {}), [tail[8:]], [count], ids - 1)
-            grown += more
-        return node, grown
-    before = len(node)
-    for tail, count in zip(tails, counts):
-        node[tail] = node.get(tail, 0) + count
-    grown = len(node) - before
-    if len(node) > BURST and ids > 1:
-        node = _insert(_Burst(), list(node.keys()), list(node.values()), ids)[0]
-    return node, grown
-
-
-def _entries(node: dict, above: bytes) -> Iterator[tuple[bytes, int]]:
-    for key, value in node.items():
-        if isinstance(node, _Burst):
-            yield from _entries(value, above + key)
-        else:
-            yield above + key, value
-
-
-def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of a matrix of ids, rows of one first id side by side, and their counts."""
-    mixed = rows[:, 0]
-    for column in range(1, rows.shape[1]):
-        mixed = pair_hash(mixed, rows[:, column])
-    order = np.lexsort((mixed, rows[:, 0]))
-    rows, mixed = rows[order], mixed[order]
-    new = np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))
-    starts = np.flatnonzero(new)
-    # Rows whose hashes fall together may lie apart: they are merely given twice.
-    return rows[starts], np.diff(np.append(starts, len(rows)))
+            node = self.roots.pop(first)
+            self.entries -= node.held
+            firsts.append(first)
+            lengths.append(node.held)
+            node.collect(b"", tails, counts)
+        rows = np.empty((len(tails), self.size), np.uint64)
+        rows[:, 0] = np.repeat(np.array(firsts, np.uint64), lengths)
+        rows[:, 1:] = np.frombuffer(b"".join(tails), np.uint64).reshape(len(tails), self.size - 1)
+        order = np.lexsort(rows.T[::-1])
+        return rows[order], np.array(counts, np.int64)[order]
+
+
+class Container(Counter):
+    """A hash container: the ids that are left of a phrase, as bytes, and how often they came."""
+
+    @property
+    def held(self) -> int:
+        return len(self)
+
+    def counted(self, tails: list[bytes], ids: int) -> "Container | Burst":
+        """Itself with the tails of so many ids counted, or what it has burst into."""
+        self.update(tails)
+        if len(self) <= BURST or ids < 2:
+            return self
+        return Burst().grown(self.items(), ids)
+
+    def collect(self, above: bytes, tails: list[bytes], counts: list[int]) -> None:
+        tails += [above + tail for tail in self] if above else self
+        counts += self.values()
+
+
+class Burst(dict):
+    """A container that has burst: nodes by the next id."""
+
+    held = 0
+
+    def grown(self, entries, ids: int) -> "Burst":
+        for tail, count in entries:
+            node = self.get(tail[:8])
+            if node is None:
+                node = self[tail[:8]] = Container()
+            node[tail[8:]] = count
+        self.held = sum(map(len, self.values()))
+        return self
+
+    def counted(self, tails: list[bytes], ids: int) -> "Burst":
+        below = {}
+        for tail in tails:
+            below.setdefault(tail[:8], []).append(tail[8:])
+        for head, rest in below.items():
+            node = self.get(head)
+            if node is None:
+                node = Container()
+            before = node.held
+            self[head] = node = node.counted(rest, ids - 1)
+            self.held += node.held - before
+        return self
+
+    def collect(self, above: bytes, tails: list[bytes], counts: list[int]) -> None:
+        for head, node in self.items():
+            node.collect(above + head, tails, counts)
 
 
 def phrase_rows(words: Words, size: int, known: np.ndarray, pairs: np.ndarray | None) -> Iterator[np.ndarray]:
@@ -245,49 +264,42 @@ def phrase_rows(words: Words, size: int, known: np.ndarray, pairs: np.ndarray |
         yield words.ids[at[i:i + ROOM, None] + np.arange(size)]
 
 
-_RUNS = "size int, first long, bucket long, tails binary, counts binary"
+_RUNS = "size int, part int, ids binary, counts binary"
+
+
+def prefix_parts(rows: np.ndarray, parts: int, hot_ids: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """The prefix partition of every phrase: by its first word, or where that is ``hot`` (ids in
+    order, and how many buckets each has) by the word and a bucket of the rest."""
+    prefix = rows[:, 0].copy()
+    if hot_ids.size:
+        at = np.minimum(np.searchsorted(hot_ids, prefix), hot_ids.size - 1)
+        hot = np.flatnonzero(hot_ids[at] == prefix)
+        rest = rows[hot, 1]
+        for column in range(2, rows.shape[1]):
+            rest = pair_hash(rest, rows[hot, column])
+        prefix[hot] = pair_hash(prefix[hot], mix(rest) % buckets[at[hot]].astype(np.uint64))
+    return (mix(prefix) % np.uint64(parts)).astype(np.int32)
 
 
 def count_in_tries(documents: DataFrame, sizes: tuple[int, ...], known: np.ndarray, pairs: np.ndarray | None,
-                   hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Sorted runs of the counts of phrases: one row per spilled subtree, or per bucket of one
-    whose first word is ``hot`` (ids in order, and how many buckets each has)."""
+                   hot: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
+    """Sorted runs of the counts of phrases, cut by prefix partition: the ids column by column."""
     shared = documents.sparkSession.sparkContext.broadcast((known, pairs, *hot))
 
-    def runs(size, first, tails, counts):
-        _, _, hot_ids, buckets = shared.value
-        at = np.searchsorted(hot_ids, np.uint64(first))
-        signed = first - (1 << 64) if first >> 63 else first
-        rows = np.frombuffer(b"".join(tails), np.uint64).reshape(len(tails), size - 1)
-        counted, bucket = np.array(counts, np.int64), np.zeros(len(tails), np.uint64)
-        if at < hot_ids.size and hot_ids[at] == first:
-            mixed = rows[:, 0]
-            for column in range(1, size - 1):
-                mixed = pair_hash(mixed, rows[:, column])
-            bucket = mix(mixed) % np.uint64(buckets[at])
-        for b in np.unique(bucket):
-            some = np.flatnonzero(bucket == b)
-            for i in range(0, some.size, RUN_ENTRIES):
-                piece = some[i:i + RUN_ENTRIES]
-                yield size, signed, int(b), rows[piece].tobytes(), counted[piece].tobytes()
-
-    def batch_of(found):
-        columns = zip(*found)
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], ["size", "first", "bucket", "tails", "counts"])
-
-    def spilled(tries, room):
-        found, held = [], 0
-        for trie in tries:
-            for first, tails, counts in trie.spill(room):
-                found += runs(trie.size, first, tails, counts)
-                held += len(tails)
-                if held >= ROOM // 8:
-                    yield batch_of(found)
-                    found, held = [], 0
-        if found:
-            yield batch_of(found)
+    def spilled(trie, room):
+        rows, counts = trie.spill(room)
+        if not len(rows):
+            return
+        part = prefix_parts(rows, parts, *shared.value[2:])
+        order = np.argsort(part, kind="stable")
+        rows, counts, part = rows[order], counts[order], part[order]
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        cuts = [(int(part[a]), i, min(i + RUN_ENTRIES, b)) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)])
+                for i in range(a, b, RUN_ENTRIES)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([trie.size] * len(cuts), pa.int32()), pa.array([p for p, _, _ in cuts], pa.int32()),
+            pa.array([rows[i:j].T.tobytes() for _, i, j in cuts], pa.binary()),
+            pa.array([counts[i:j].tobytes() for _, i, j in cuts], pa.binary())], ["size", "part", "ids", "counts"])
 
     def run(batches):
         known, pairs = shared.value[:2]
@@ -299,8 +311,10 @@ def count_in_tries(documents: DataFrame, sizes: tuple[int, ...], known: np.ndarr
                 for rows in phrase_rows(words, trie.size, word_fits, pair_fits):
                     trie.add_rows(rows)
                     if sum(trie.entries for trie in tries) > ROOM:
-                        yield from spilled(tries, ROOM // (2 * len(tries)))
-        yield from spilled(tries, -1)
+                        for full in tries:
+                            yield from spilled(full, ROOM // (2 * len(tries)))
+        for trie in tries:
+            yield from spilled(trie, -1)
 
     return _texts(documents).mapInArrow(run, _RUNS)
 
@@ -316,40 +330,44 @@ def _compact(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def merge_runs(runs: DataFrame, min_count: int) -> DataFrame:
     """(size, key, a): phrases with at least ``min_count`` occurrences; a key is the ids' bytes."""
 
-    def settle(name, rows, counts):
-        rows, counts = _compact(np.concatenate(rows), np.concatenate(counts))
-        some = counts >= min_count
-        head = np.int64(name[1]).tobytes()
-        return [(name[0], head + row.tobytes(), int(n)) for row, n in zip(rows[some], counts[some])]
+    def phrases(size, rows, counts):
+        keys = np.ascontiguousarray(rows).view(f"V{8 * size}").ravel().tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([size] * len(keys), pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())],
+            ["size", "key", "a"])
 
     def run(batches):
-        name, rows, counts, held = None, [], [], 0
+        name, rows, counts, held, whole = None, [], [], 0, True
+
+        def merged(end):
+            # A partition that is not whole in memory passes all its counts on, frequent or not.
+            nonlocal rows, counts, held, whole
+            found, n = _compact(np.concatenate(rows), np.concatenate(counts))
+            if not end and len(n) <= MERGE_ROOM:
+                rows, counts, held = [found], [n], 0
+                return None
+            whole = whole and end
+            some = n >= (min_count if whole else 1)
+            rows, counts, held, whole = [], [], 0, end or whole
+            return phrases(name[0], found[some], n[some]) if some.any() else None
+
         for batch in batches:
-            done = []
-            for size, first, bucket, tails, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if (size, first, bucket) != name:
-                    if rows:
-                        done += settle(name, rows, counts)
-                    name, rows, counts, held = (size, first, bucket), [], [], 0
-                rows.append(np.frombuffer(tails, np.uint64).reshape(-1, size - 1))
+            for size, part, ids, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if (size, part) != name:
+                    if rows and (found := merged(True)):
+                        yield found
+                    name, whole = (size, part), True
+                rows.append(np.frombuffer(ids, np.uint64).reshape(size, -1).T)
                 counts.append(np.frombuffer(n, np.int64))
                 held += len(counts[-1])
-                if held > ROOM:
-                    whole = _compact(np.concatenate(rows), np.concatenate(counts))
-                    rows, counts, held = [whole[0]], [whole[1]], 0
-            if done:
-                yield _phrases(done)
-        if rows and (done := settle(name, rows, counts)):
-            yield _phrases(done)
-
-    dealt = runs.repartition("size", "first", "bucket").sortWithinPartitions("size", "first", "bucket")
-    return dealt.mapInArrow(run, "size int, key binary, a long")
-
+                if held > ROOM and (found := merged(False)):
+                    yield found
+        if rows and (found := merged(True)):
+            yield found
 
-def _phrases(done: list[tuple]) -> pa.RecordBatch:
-    size, key, a = zip(*done)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(size, pa.int32()), pa.array(key, pa.binary()), pa.array(a, pa.int64())], ["size", "key", "a"])
+    dealt = runs.repartition("size", "part").sortWithinPartitions("size", "part")
+    found = dealt.mapInArrow(run, "size int, key binary, a long")
+    return found.groupBy("size", "key").agg(F.sum("a").alias("a")).where(F.col("a") >= min_count)
 
 
 def id_bytes(number: Column) -> Column:
@@ -365,7 +383,8 @@ def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest:
     totals = materialize(every.groupBy("lang").agg(F.sum("f").alias("n")), "words-by-lang")
     words = every.where(F.col("f") >= min_count)
     known = bitmap(words.select("id"), WORD_BITS)
-    grain = max(GRAIN, (totals.agg(F.sum("n")).first()[0] or 0) // GRAIN_SHARE)
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    grain, parts = max(GRAIN, n // GRAIN_SHARE), min(max(n // PART_WORDS, LEAST_PARTS), MOST_PARTS)
     # At most GRAIN_SHARE words hold more than this share of all.
     often = words.where(F.col("f") > grain).select("id", F.ceil(F.col("f") / grain).alias("buckets")).toArrow()
     ids = often.column("id").to_numpy().view(np.uint64)
@@ -374,7 +393,7 @@ def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest:
     none = documents.sparkSession.createDataFrame([], "size int, key binary, a long")
     if longest < 2:
         return words, totals, none
-    two = materialize(merge_runs(count_in_tries(documents, (2,), known, None, hot), min_count), "phrases-of-two")
+    two = materialize(merge_runs(count_in_tries(documents, (2,), known, None, hot, parts), min_count), "phrases-of-two")
     if longest == 2:
         return words, totals, two
 
@@ -384,7 +403,7 @@ def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest:
             yield pa.RecordBatch.from_arrays([pa.array(pair_hash(rows[:, 0], rows[:, 1]).view(np.int64))], ["id"])
 
     pairs = bitmap(two.select("key").mapInArrow(pair_ids, "id long"), PAIR_BITS)
-    more = count_in_tries(documents, tuple(range(3, longest + 1)), known, pairs, hot)
+    more = count_in_tries(documents, tuple(range(3, longest + 1)), known, pairs, hot, parts)
     return words, totals, two.unionByName(materialize(merge_runs(more, min_count), "phrases-of-more"))
 
 

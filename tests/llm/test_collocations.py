@@ -47,6 +47,8 @@ def test_spills_bursts_and_split_prefixes(frame, monkeypatch):
     monkeypatch.setattr(collocations, "RUN_ENTRIES", 3)
     monkeypatch.setattr(collocations, "CHUNK_BYTES", 200)
     monkeypatch.setattr(collocations, "GRAIN", 50)
+    monkeypatch.setattr(collocations, "LEAST_PARTS", 3)
+    monkeypatch.setattr(collocations, "MERGE_ROOM", 40)
     # Bitmaps that are almost full let everything through.
     monkeypatch.setattr(collocations, "WORD_BITS", 1 << 15)
     monkeypatch.setattr(collocations, "PAIR_BITS", 1 << 15)

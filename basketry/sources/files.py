@@ -22,10 +22,10 @@ def require_source_files(spark: SparkSession, paths: dict[str, str], keys) -> No
     """Every requested source must be known and present before any job starts."""
     unknown = sorted(key for key in keys if key not in paths)
     if unknown:
-        raise DataQualityError(f"Unknown source file keys: {', '.join(unknown)}")
+        raise DataQualityError(f"No such sources: {', '.join(unknown)}")
     missing = [paths[key] for key in keys if not storage.exists(spark, paths[key])]
     if missing:
-        raise DataQualityError(f"Missing source files: {', '.join(missing)}")
+        raise DataQualityError(f"Source files not found: {', '.join(missing)}")
 
 
 def read_csv(spark: SparkSession, path: str, columns) -> DataFrame:
@@ -37,7 +37,7 @@ def read_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     missing = [name for name in columns if name not in header]
     if missing:
         name = path.rsplit("/", 1)[-1]
-        raise DataQualityError(f"{name}: missing required columns: {', '.join(missing)}")
+        raise DataQualityError(f"{name} lacks columns: {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     return spark.read.schema(schema).options(**READING).csv(path).select(*columns)
 

@@ -37,7 +37,7 @@ def test_unsafe_or_incomplete_arguments(arguments):
 def test_dry_run(csv_folder, tmp_path, capsys):
     assert main(["load", "--sources", csv_folder, "--warehouse", "unused", "--dry-run"]) == 0
     assert main(["load", "--sources", str(tmp_path), "--warehouse", "unused", "--dry-run"]) == 1
-    assert "Missing source files" in capsys.readouterr().err
+    assert "Source files not found" in capsys.readouterr().err
 
 
 def test_mining_and_recommendation(spark, root, capsys):

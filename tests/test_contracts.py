@@ -47,12 +47,12 @@ def test_numeric_keys_are_compared_as_numbers(spark):
 
 def test_empty_source(spark):
     assert violations(spark, [], C.NOT_EMPTY) == [1]
-    with pytest.raises(DataQualityError, match="orders: source contains no rows"):
+    with pytest.raises(DataQualityError, match="orders: no rows"):
         C.enforce_sources(make_sources(spark, orders=[]))
 
 
 def test_missing_column_is_named(spark):
-    with pytest.raises(DataQualityError, match="t: missing required columns: y"):
+    with pytest.raises(DataQualityError, match="t lacks columns: y"):
         C.enforce(frame(spark, ["1"]), "t", (C.integer("y"),))
 
 
@@ -60,7 +60,7 @@ def test_first_broken_rule_is_reported_with_a_sample(spark):
     orders = [(i, 100, "prior", 1, 9, 25, None) for i in range(1, 9)]
     with pytest.raises(DataQualityError) as error:
         C.enforce_sources(make_sources(spark, orders=orders))
-    assert "orders: order_dow must be between 0 and 6" in str(error.value)
+    assert "orders: order_dow leaves the range from 0 to 6" in str(error.value)
     assert str(error.value).count("'order_dow': '9'") == 5
 
 
@@ -68,15 +68,15 @@ def test_first_broken_rule_is_reported_with_a_sample(spark):
     (7, 400, "prior", 1, 0, 0, 3), (7, 400, "prior", 2, 0, 0, None),
 ])
 def test_only_first_orders_lack_a_gap(spark, order):
-    with pytest.raises(DataQualityError, match="NULL only for order_number=1"):
+    with pytest.raises(DataQualityError, match="only a first order may"):
         C.enforce_sources(make_sources(spark, orders=[*ORDERS, order]))
 
 
 @pytest.mark.parametrize("line, message", [
-    ((1, 10, 3, 0), r"duplicate business key \(order_id, product_id\)"),
-    ((1, 11, 1, 0), r"duplicate business key \(order_id, add_to_cart_order\)"),
-    ((1, 21, 40_000, 0), "add_to_cart_order must be between 1 and 32767"),
-    ((1, 21, 3, 2), "reordered contains unsupported values; expected one of 0, 1"),
+    ((1, 10, 3, 0), r"rows share a key \(order_id, product_id\)"),
+    ((1, 11, 1, 0), r"rows share a key \(order_id, add_to_cart_order\)"),
+    ((1, 21, 40_000, 0), "add_to_cart_order leaves the range from 1 to 32767"),
+    ((1, 21, 3, 2), "reordered holds something else than 0, 1"),
 ])
 def test_line_contract(spark, line, message):
     with pytest.raises(DataQualityError, match=message):
@@ -84,9 +84,9 @@ def test_line_contract(spark, line, message):
 
 
 def test_blank_and_duplicate_names(spark):
-    with pytest.raises(DataQualityError, match="department contains blank values"):
+    with pytest.raises(DataQualityError, match="department is blank in some rows"):
         C.enforce_sources(make_sources(spark, departments=[(1, "  "), (2, "a")]))
-    with pytest.raises(DataQualityError, match=r"duplicate business key \(aisle\)"):
+    with pytest.raises(DataQualityError, match=r"rows share a key \(aisle\)"):
         C.enforce_sources(make_sources(spark, aisles=[(1, "a"), (2, "a")]))
 
 

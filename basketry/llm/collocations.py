@@ -49,7 +49,7 @@ WORD_BITS, PAIR_BITS = 1 << 25, 1 << 26
 # Prefixes hold so many words at most, or this share of all; larger ones are split.
 GRAIN, GRAIN_SHARE = 1 << 16, 1 << 20
 # Prefix partitions: one per so many words of the corpus, and distinct phrases that one merges.
-PART_WORDS, LEAST_PARTS, MOST_PARTS = 1 << 20, 64, 1 << 16
+PART_WORDS, LEAST_PARTS, MOST_PARTS = 1 << 20, 12, 1 << 16
 MERGE_ROOM = 1 << 20
 # The totals of languages are broadcast up to so many rows.
 SMALL_SIDE = 100_000

@@ -5,12 +5,19 @@ registered domain to suffix to all. Rates are shrunk on the way down: a suffix t
 overall rate, a domain towards its suffix, a host towards its domain. Each step is a
 beta-binomial update whose prior has the parent's mean and a strength estimated from the spread
 of the level's own rates (method of moments). A url is blocked if the lower posterior bound of
-its host's bad rate is above a threshold; unseen hosts inherit from the nearest level seen.
+its host's bad rate is above a threshold.
+
+A host without outcomes has the mean of the nearest level seen and no evidence of its own: it is
+as uncertain as a new member of that level, whose prior is worth the least strength of the levels
+between, however many outcomes its neighbours have. A prior is worth at most 100 outcomes.
 
 Defined results. A null url, or one without ``://``, has an empty host and an empty path, fits no
-rule and gets the overall rate. A host with one label is its own domain and suffix. Without any
-labels every rate is the prior 0.5, which no bound blocks. An empty table gives an empty result.
-Rows that repeat a page_id are judged one by one. Extra columns are not read.
+rule and gets the overall rate, as no member of any level. For the levels, a port is cut off, a host
+with one label is its own domain and suffix, and so is an IP address. Suffixes have one label but
+for those of ``suffixes``; a full list of public suffixes can be given there. Without any labels every
+rate is the prior 0.5, which no bound blocks. An empty table gives an empty result. Rows that repeat
+a page_id are judged one by one. Of rules of one length that fit, a block goes first. Extra columns
+are not read.
 """
 
 from collections.abc import Sequence
@@ -33,7 +40,7 @@ TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "c
 MAX_BAD_RATE = 0.5
 # Standard deviations between the posterior mean and its bound: about one chance in forty.
 BOUND = 1.96
-STRENGTHS = (1.0, 1000.0)
+STRENGTHS = (1.0, 100.0)
 SMALL_SIDE = 200_000
 
 
@@ -46,14 +53,23 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffix(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+# An IPv4 address, or an IPv6 address in its brackets.
+ADDRESS = r"^(\d{1,3}(\.\d{1,3}){3}|\[.*\])$"
+
+
+def without_port(host: Column) -> Column:
+    return F.regexp_replace(host, r":\d*$", "")
 
 
-def host_domain(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES)
-    return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def _levels(host: Column, suffixes: Sequence[str]) -> list[Column]:
+    """(named, domain, suffix): the host without its port, its registered domain and its public
+    suffix; all null for an empty host."""
+    named = F.nullif(without_port(host), F.lit(""))
+    address, two = named.rlike(ADDRESS), F.substring_index(named, ".", -2)
+    long = two.isin(*suffixes) if suffixes else F.lit(False)
+    domain = F.when(address, named).when(long, F.substring_index(named, ".", -3)).otherwise(two)
+    suffix = F.when(address, named).when(long, two).otherwise(F.substring_index(named, ".", -1))
+    return [named.alias("named"), domain.alias("domain"), suffix.alias("suffix")]
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -81,26 +97,25 @@ def _strength(prior: str) -> Column:
     return F.least(F.greatest(F.coalesce(s, F.lit(STRENGTHS[1])), F.lit(STRENGTHS[0])), F.lit(STRENGTHS[1]))
 
 
-def _shrink(rows: DataFrame, level: str) -> DataFrame:
-    """(level, mean, weight) of (level, n, bad, prior): posterior mean of each key, and the
-    weight behind it."""
+def _shrink(rows: DataFrame, level: str) -> tuple[DataFrame, float]:
+    """((level, mean, weight) of (level, n, bad, prior): posterior mean of each key and the weight
+    behind it; the strength of the level's prior)."""
     rows = materialize(rows, f"rates-by-{level}")
     strength = rows.agg(_strength("prior")).first()[0]
     return rows.select(
         level, ((F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)).alias("mean"),
-        (F.col("n") + strength).alias("weight"))
+        (F.col("n") + strength).alias("weight")), strength
 
 
-def reputations(outcomes: DataFrame) -> tuple[dict[str, DataFrame], tuple[float, float]]:
-    """Posteriors from (host, bad): per host, domain and suffix, and the overall mean and weight."""
-    known = outcomes.where(F.col("bad").isNotNull())
-    counts = materialize(known.groupBy("host").agg(
-        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")).select(
-        "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"),
-        "n", "bad"), "outcomes-by-host")
+def reputations(outcomes: DataFrame, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES):
+    """Posteriors from (host, bad) by level, from hosts upwards; the strength of a new member's
+    prior below each of them, and the overall mean with its own."""
+    known = outcomes.where(F.col("bad").isNotNull()).select(*_levels(F.col("host"), suffixes), "bad")
+    counts = materialize(known.groupBy("named", "domain", "suffix").agg(
+        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")), "outcomes-by-host")
     total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    weight = (total["n"] or 0) + 2.0
-    mean = ((total["bad"] or 0) + 1) / weight
+    mean = ((total["bad"] or 0) + 1) / ((total["n"] or 0) + 2.0)
+    counts = counts.where(F.col("named").isNotNull())
 
     def summed(*keys):
         return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -109,14 +124,15 @@ def reputations(outcomes: DataFrame) -> tuple[dict[str, DataFrame], tuple[float,
         priors = posterior.select(parent, F.col("mean").alias("prior"))
         return summed(level, parent).join(small_broadcast(priors, SMALL_SIDE), parent)
 
-    suffix = _shrink(summed("suffix").withColumn("prior", F.lit(mean)), "suffix")
-    domain = _shrink(below("domain", "suffix", suffix), "domain")
-    host = _shrink(below("host", "domain", domain), "host")
-    return {"host": host, "domain": domain, "suffix": suffix}, (mean, weight)
+    suffix, of_suffix = _shrink(summed("suffix").withColumn("prior", F.lit(mean)), "suffix")
+    domain, of_domain = _shrink(below("domain", "suffix", suffix), "domain")
+    host, of_host = _shrink(below("named", "domain", domain), "named")
+    new = {"domain": of_host, "suffix": min(of_host, of_domain)}
+    return {"named": host, "domain": domain, "suffix": suffix}, new, (mean, min(of_host, of_domain, of_suffix))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
-          max_bad_rate: float = MAX_BAD_RATE) -> DataFrame:
+          max_bad_rate: float = MAX_BAD_RATE, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """(page_id, host, path, rule, verdict, bad_rate, bound) of every page.
 
     ``outcomes`` has (page_id, bad); several outcomes of a page count once, bad if any is.
@@ -125,15 +141,14 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
     urls = urls.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     once = outcomes.groupBy("page_id").agg(F.max("bad").alias("bad")).withColumnRenamed("page_id", "outcome_of")
     labelled = urls.join(once, urls["page_id"] == once["outcome_of"]).select("host", "bad")
-    levels, overall = reputations(labelled)
+    levels, new, overall = reputations(labelled, suffixes)
     # Every host that occurs gets its posterior once; pages then only look their host up.
-    hosts = urls.select("host").distinct().select(
-        "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix"))
+    hosts = urls.select("host").distinct().select("host", *_levels(F.col("host"), suffixes))
     for level, posterior in levels.items():
-        found = posterior.select(level, F.struct("mean", "weight").alias(f"by_{level}"))
+        weight = F.lit(new[level]) if level in new else F.col("weight")
+        found = posterior.select(level, F.struct("mean", weight.alias("weight")).alias(f"by_{level}"))
         hosts = hosts.join(small_broadcast(found, SMALL_SIDE), level, "left")
-    # A level that saw no outcome has its parent's mean as prior and no evidence of its own.
-    best = F.coalesce("by_host", "by_domain", "by_suffix", F.struct(
+    best = F.coalesce("by_named", "by_domain", "by_suffix", F.struct(
         F.lit(overall[0]).alias("mean"), F.lit(overall[1]).alias("weight")))
     mean, weight = best["mean"], best["weight"]
     scored = hosts.select("host", mean.alias("bad_rate"),

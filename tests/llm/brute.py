@@ -140,3 +140,58 @@ def phrases(rows, min_count, top, longest=5, share=100):
         found[lang].append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
     return [(lang, i, p.decode(), -a, l, r, total[lang], -score)
             for lang, all_of in found.items() for i, (score, a, p, l, r) in enumerate(sorted(all_of)[:top], 1)]
+
+
+def judged_urls(pages, outcomes, two_label=("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "gov.uk", "org.uk")):
+    """(page_id, host, path, rule, verdict) from (page_id, url) and (page_id, bad)."""
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+    def parts(url):
+        _, mark, rest = (url or "").partition("://")
+        if not mark:
+            return "", ""
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        return host.translate(UPPER), re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+
+    def levels(host):
+        host = re.sub(r":\d*$", "", host)
+        labels = host.split(".")
+        if not host or re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}|\[.*\]", host):
+            return host, host, host
+        long = ".".join(labels[-2:]) in two_label
+        return host, ".".join(labels[-3:] if long else labels[-2:]), ".".join(labels[-2:] if long else labels[-1:])
+
+    split = [(page, *parts(url)) for page, url in pages]
+    bad_of = collections.defaultdict(list)
+    for page, bad in outcomes:
+        bad_of[page].append(bad)
+    seen = [(levels(host), max(known)) for page, host, _ in split
+            if page is not None and (known := [b for b in bad_of.get(page, []) if b is not None])]
+    mean = (sum(b for _, b in seen) + 1) / (len(seen) + 2)
+
+    def shrink(at, prior_of):
+        n, bad, prior = collections.Counter(), collections.Counter(), {}
+        for names, b in seen:
+            if names[0]:
+                n[names[at]] += 1
+                bad[names[at]] += b
+                prior[names[at]] = prior_of(names)
+        excess = sum(n[k] * (bad[k] / n[k] - prior[k]) ** 2 - prior[k] * (1 - prior[k]) for k in n)
+        room = sum((n[k] - 1) * prior[k] * (1 - prior[k]) for k in n)
+        rho = excess / room if room > 0 else 0
+        strength = min(max(1 / rho - 1 if rho > 0 else 100.0, 1.0), 100.0)
+        return {k: ((bad[k] + strength * prior[k]) / (n[k] + strength), n[k] + strength) for k in n}, strength
+
+    suffix, s2 = shrink(2, lambda names: mean)
+    domain, s1 = shrink(1, lambda names: suffix[names[2]][0])
+    host_rates, s0 = shrink(0, lambda names: domain[names[1]][0])
+    found = []
+    for page, host, path in split:
+        fit = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+        rule = max(fit, key=lambda r: len(r[0] + r[1]), default=None)
+        named, dom, suf = levels(host)
+        p, w = (host_rates[named] if named in host_rates and named else (domain[dom][0], s0) if dom in domain and named
+                else (suffix[suf][0], min(s0, s1)) if suf in suffix and named else (mean, min(s0, s1, s2)))
+        blocked = p - 1.96 * (p * (1 - p) / (w + 1)) ** 0.5 > 0.5
+        found.append((page, host, path, rule and rule[0] + rule[1], rule[2] if rule else "block" if blocked else "allow"))
+    return found

@@ -201,6 +201,30 @@ def test_url_filter(spark):
     assert url_filter.judge(pages, outcomes.where("false")).where("verdict = 'block'").count() == 1
 
 
+def test_url_filter_against_plain_python(spark):
+    random.seed(8)
+    hosts = ["a.test", "b.a.test", "www.c.co.uk", "d.c.co.uk", "10.0.0.1:8080", "10.0.0.1", "10.0.0.2", "one", "E.Test:443",
+             "x.example.com", "[::1]:80", "bad.test", "worse.bad.test", "new.test", "q.unseen", ""]
+    pages = [(i, random.choice(["http://", "https://", "x://"]) + random.choice(hosts) + random.choice(["", "/", "/en/a", "/de/b?x", "#/"]))
+             for i in range(400)] + [(1000, None), (1001, "no scheme"), (3, "http://a.test/again"), (None, "http://bad.test/")]
+    dirty = lambda url: url and ("bad" in url or "10.0.0.1" in url)
+    outcomes = [(i, bool(dirty(u)) ^ (random.random() < .2)) for i, u in pages if i is not None and i % 3 and "new" not in (u or "") and "unseen" not in (u or "")]
+    outcomes += [(4, None), (5, True), (5, False), (None, True)]
+    found = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"),
+                             spark.createDataFrame(outcomes, "page_id long, bad boolean"))
+    found = sorted(map(tuple, found.select("page_id", "host", "path", "rule", "verdict").collect()), key=repr)
+    assert found == sorted(brute.judged_urls(pages, outcomes), key=repr)
+    assert any(v == "block" and r is None for *_, r, v in found)
+
+
+def test_unseen_hosts_are_not_blocked_by_their_neighbours(spark):
+    pages = [(i, f"http://h{i % 200}.test/{i}") for i in range(4000)] + [(9000 + i, f"http://new{i}.test/") for i in range(20)]
+    pages += [(9100, None), (9101, "http://10.1.2.3:8080/")]
+    outcomes = spark.createDataFrame([(i, i * 7919 % 100 < 55) for i in range(4000)], "page_id long, bad boolean")
+    found = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"), outcomes)
+    assert {r.verdict for r in found.where("page_id >= 9000").collect()} == {"allow"}
+
+
 def test_url_filter_blocks_hosts_with_many_bad_pages(spark):
     pages = spark.createDataFrame(
         [(i, f"http://{'bad' if i < 60 else f'h{i % 20}'}.test/{i}") for i in range(460)], "page_id long, url string")

@@ -53,7 +53,14 @@ def test_section_counts_add_up(spark):
     assert found.agg(F.sum("n_chars")).first()[0] == chars
 
 
-@pytest.mark.parametrize("name", ["op2_secret_scan", "op7_url_filter", "op9_license_scan"])
+def test_url_filter_matches_plain_python(spark):
+    pages = [tuple(r) for r in table(spark, FOLDER, "pages").select("page_id", "url").collect()]
+    labels = [(r.doc_id, r.quality == 0 or r.toxic == 1) for r in table(spark, FOLDER, "labels").collect()]
+    found = QUERIES["op7_url_filter"](spark, FOLDER).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(brute.judged_urls(pages, labels), key=repr)
+
+
+@pytest.mark.parametrize("name", ["op2_secret_scan", "op9_license_scan"])
 def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).limit(1).count() == 1
 

@@ -5,7 +5,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -286,20 +286,55 @@ class Projection:
     explained: tuple[float, float]
 
 
+def co_moments(scaled: DataFrame) -> np.ndarray:
+    """The covariance matrix of the scaled features, from one pass over the rows."""
+    pairs = [(i, j) for i in range(len(SCALED)) for j in range(i, len(SCALED))]
+    row = scaled.agg(*[F.covar_pop(SCALED[i], SCALED[j]).alias(f"m{i}_{j}") for i, j in pairs]).first()
+    matrix = np.zeros((len(SCALED), len(SCALED)))
+    for i, j in pairs:
+        matrix[i, j] = matrix[j, i] = row[f"m{i}_{j}"] or 0.0
+    return matrix
+
+
+def fit_invariants(fit: Fit) -> DataFrame:
+    """(check_name, value) that hold for every finished fit: all rows labelled, none of them nearer
+    to another centre than to its own, every centre the mean of its members, labels in the order
+    of the centres."""
+    centers = fit.frame.sparkSession.createDataFrame(
+        [(i, *c) for i, c in enumerate(fit.centers)], ", ".join(["of int", *(f"c_{n} double" for n in SCALED)]))
+    distance = sum((F.col(name) - F.col(f"c_{name}")) ** 2 for name in SCALED)
+    near = fit.frame.join(F.broadcast(centers)).groupBy("user_id").agg(
+        F.min(distance).alias("least"), F.min(F.when(F.col("of") == F.col("cluster"), distance)).alias("own"))
+    rows = near.agg(F.count(F.lit(1)).alias("labelled_rows"),
+                    F.count_if(F.col("own") > F.col("least") + 1e-9).alias("rows_nearer_to_another_centre"))
+    means = fit.frame.groupBy("cluster").agg(*[F.avg(name).alias(name) for name in SCALED]).join(
+        F.broadcast(centers), F.col("of") == F.col("cluster"))
+    off = F.greatest(*[F.abs(F.col(name) - F.col(f"c_{name}")) for name in SCALED])
+    middle = means.agg(F.count(F.lit(1)).alias("clusters"), F.count_if(off > 1e-2).alias("centres_off_their_members"))
+    order = means.agg(F.array_sort(F.collect_list(F.struct("cluster", F.array(*[f"c_{n}" for n in SCALED]).alias("c")))).alias("c")).select(
+        F.size(F.filter("c", lambda x, i: (i > 0) & (x["c"] < F.get(F.col("c"), i - 1)["c"]))).cast("bigint").alias("centres_out_of_order"))
+    named = lambda df: df.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.col(n).cast("bigint").alias("value")) for n in df.columns])))
+    return named(rows).unionAll(named(middle)).unionAll(named(order))
+
+
 def pca_2d(labelled: DataFrame) -> Projection:
     """(user_id, cluster, pc1, pc2) of every row, and the explained variance.
 
-    The sign of a component is fixed by its largest loading.
+    One combining aggregate gives the co-moments of the features; the axes of that small matrix
+    are found on the driver. The sign of a component is fixed by its largest loading.
     """
-    model = PCA(k=2, inputCol="features", outputCol="projected").fit(_assembled(labelled))
-    loadings = model.pc.toArray()
-    axes = [axis * np.sign(axis[np.argmax(np.abs(axis))]) for axis in loadings.T]
+    moments = co_moments(labelled)
+    spread, vectors = np.linalg.eigh(moments)
+    largest = np.argsort(spread)[::-1][:2]
+    axes = [axis * np.sign(axis[np.argmax(np.abs(axis))]) for axis in vectors[:, largest].T]
+    total = float(np.trace(moments)) or 1.0
     points = labelled.select(
         "user_id", "cluster",
         *[sum(F.col(name) * float(weight) for name, weight in zip(SCALED, axis, strict=True))
           .alias(f"pc{place}") for place, axis in enumerate(axes, start=1)],
     )
-    return Projection(points, tuple(float(x) for x in model.explainedVariance))
+    return Projection(points, tuple(float(spread[i]) / total for i in largest))
 
 
 def train(

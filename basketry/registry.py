@@ -456,11 +456,19 @@ def pca_points(wh):
     return C.pca_2d(_trained(wh)[0].frame).points
 
 
+def pca_of_segments(wh):
+    return rounded(C.pca_2d(_segmented(wh)).points, 5)
+
+
+def kmeans_invariants(wh):
+    return C.fit_invariants(_trained(wh)[0])
+
+
 def pca_variance(spark, folder):
     """The share of all variance that each component explains."""
     explained = C.pca_2d(_segmented(open_mart(spark, folder).warehouse)).explained
     return spark.createDataFrame(
-        [(f"pc{place}", share) for place, share in enumerate(explained, start=1)],
+        [(f"pc{place}", round(share, 6)) for place, share in enumerate(explained, start=1)],
         "component string, explained_variance_ratio double")
 
 
@@ -654,7 +662,9 @@ QUERIES = {
     "cluster_metrics": cluster_metrics,
     "profile_clusters": _warehouse(lambda wh: C.profile_clusters(_trained(wh)[0].frame)),
     "bounded_silhouette": _warehouse(sampled_silhouette),
+    "kmeans_invariants": _warehouse(kmeans_invariants),
     "pca_2d": _warehouse(pca_points),
+    "pca_of_segments": _warehouse(pca_of_segments),
     "pca_variance": pca_variance,
     "clustering_run": clustering_run,
     "save_cluster_labels": save_cluster_labels,

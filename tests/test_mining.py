@@ -3,6 +3,7 @@
 from itertools import combinations
 from math import inf, sqrt
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -366,6 +367,29 @@ def test_projection_keeps_every_user(users):
     assert found.points.count() == 12 and found.explained[0] > 0.9
 
 
+def test_projection_follows_the_moments(users):
+    scaled = FE.standardize(users).withColumn("cluster", F.lit(0))
+    rows_ = np.array([[r[n] for n in FE.SCALED] for r in scaled.collect()])
+    assert C.co_moments(scaled) == pytest.approx(np.cov(rows_.T, bias=True))
+    found = C.pca_2d(scaled)
+    pcs = np.array([(r.pc1, r.pc2) for r in found.points.collect()])
+    covariance = np.cov(pcs.T, bias=True)
+    assert covariance[0, 1] == pytest.approx(0, abs=1e-9)
+    assert found.explained == pytest.approx(tuple(np.diag(covariance) / np.trace(np.cov(rows_.T, bias=True))))
+
+
+def test_fit_invariants_see_a_broken_fit(users):
+    from dataclasses import replace
+
+    fit, _ = C.train(users, 2, n_init=2)
+    good = {r.check_name: r.value for r in C.fit_invariants(fit).collect()}
+    assert good == {"labelled_rows": 12, "clusters": 2, "rows_nearer_to_another_centre": 0,
+                    "centres_off_their_members": 0, "centres_out_of_order": 0}
+    swapped = {r.check_name: r.value for r in C.fit_invariants(replace(fit, centers=fit.centers[::-1])).collect()}
+    assert swapped["rows_nearer_to_another_centre"] == 12
+    assert swapped["centres_off_their_members"] == 2 and swapped["centres_out_of_order"] == 1
+
+
 def test_baskets_are_whole_unless_pruned(spark):
     prepared = B.prepare_baskets(lines_of(spark, [[3, 1, 2], [1], [3, 4]]))
     assert sorted(r["items"] for r in prepared.frame.collect()) == [["1", "2", "3"], ["3", "4"]]

@@ -29,6 +29,8 @@ K = 10
 SCALE = 1024
 BINS = 256
 BLOCK_ROWS = 512
+# Histograms of blocks of queries that a task adds up at once, of about one MB each.
+HISTOGRAMS = 64
 EXACT_DOUBLE = 1 << 53
 LONG = (1 << 63) - 1
 
@@ -85,7 +87,7 @@ def _cells(candidates: DataFrame, queries: DataFrame, state: DataFrame) -> DataF
     return left.join(right, ["dims", "query_block", "candidate_block"])
 
 
-def _counts(row) -> pd.DataFrame:
+def _histogram(row) -> np.ndarray:
     """Scores of one cell per query and bin; bin BINS is everything above the interval."""
     ids, vectors = _matrix(row, "ids", "vectors")
     asked, queries = _matrix(row, "query_ids", "query_vectors")
@@ -95,10 +97,28 @@ def _counts(row) -> pd.DataFrame:
     counts = np.ones_like(found)
     counts[(asked[:, None] == ids) | (at < 0)] = 0
     flat = np.arange(asked.size)[:, None] * (BINS + 1) + np.maximum(at, 0)
-    held = np.bincount(flat.ravel(), weights=counts.ravel(), minlength=asked.size * (BINS + 1)).astype(np.int64)
-    some = np.flatnonzero(held)
-    return pd.DataFrame({"dims": row["dims"], "query_block": row["query_block"],
-                         "slot": some // (BINS + 1), "bin": some % (BINS + 1), "n": held[some]})
+    return np.bincount(flat.ravel(), weights=counts.ravel(), minlength=asked.size * (BINS + 1)).astype(np.int64)
+
+
+def _counts(frames):
+    """(dims, query_block, slot, bin, n): the histograms of a task's cells, added up by block of
+    queries before they leave it, with a bounded number of blocks in memory."""
+    held = {}
+
+    def summed():
+        for (dims, block), counts in held.items():
+            some = np.flatnonzero(counts)
+            yield pd.DataFrame({"dims": dims, "query_block": block, "slot": some // (BINS + 1),
+                                "bin": some % (BINS + 1), "n": counts[some]})
+        held.clear()
+
+    for frame in frames:
+        for _, row in frame.iterrows():
+            key, counts = (row["dims"], row["query_block"]), _histogram(row)
+            if key not in held and len(held) >= HISTOGRAMS:
+                yield from summed()
+            held[key] = held[key] + counts if key in held else counts
+    yield from summed()
 
 
 def _best(row, k: int) -> pd.DataFrame:
@@ -190,7 +210,7 @@ def search(embeddings: DataFrame, queries: Column, k: int = K, scale: int = SCAL
     state = _first_state(blocks, candidates)
     while state.where("not done").limit(1).count():
         counts = _cells(candidates, blocks, state).mapInPandas(
-            _each(_counts), "dims int, query_block long, slot long, bin long, n long")
+            _counts, "dims int, query_block long, slot long, bin long, n long")
         state = materialize(_narrow(state, counts, k), "intervals")
     best = _cells(candidates, blocks, state).mapInPandas(
         _each(_best, k), "query_id long, vec_id long, score long")

@@ -1,5 +1,7 @@
 """What several operators share: free column names, texts as bytes, line counts of tables."""
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -23,6 +25,15 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary() if column.type != pa.large_string() else pa.large_binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library keep of freed batches: a Python worker
+    lives on after its task, beside an executor that needs the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values over all bits (the finaliser of the SplitMix64 generator)."""
     x = (x + GOLDEN).astype(np.uint64)

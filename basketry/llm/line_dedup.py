@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.llm import mph
-from basketry.llm.common import free_name, shuffle_width, utf8
+from basketry.llm.common import free_name, give_back, shuffle_width, utf8
 from basketry.session import materialize, small_broadcast
 
 MIN_DOCUMENTS = 3
@@ -79,6 +79,8 @@ def line_hashes(documents: DataFrame, min_length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(h1), pa.array(h2)],
                 ["doc_id", "mark", "h1", "h2"])
+            del ids, marks, digests, h1, h2
+        give_back()
 
     text = F.col("text").cast("string")
     texts = documents.select(F.col("doc_id").cast("long"), text, text_mark(text).alias("mark"))
@@ -193,5 +195,7 @@ def dedup_lines(documents: DataFrame, min_documents: int = MIN_DOCUMENTS, min_le
             columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(totals, pa.int64()), pa.array(losses, pa.int64())], schema.names)
+            del texts, columns, totals, losses
+        give_back()
 
     return both.withColumn("text", F.col("text").cast("string")).mapInArrow(run, schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import free_name, utf8
+from basketry.llm.common import free_name, give_back, utf8
 from basketry.llm.components import components
 from basketry.llm.shingles import Shingler
 from basketry.session import materialize, small_broadcast
@@ -112,6 +112,8 @@ def classify(documents: DataFrame, words: int) -> DataFrame:
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens.view(np.int64))]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(held, pa.int64())]),
             ], ["doc_id", "mark", "class", "n", "token", "held"])
+            del digests, tokens, held
+        give_back()
 
     marked = _texts(documents).withColumn("mark", text_mark(F.col("text")))
     return marked.mapInArrow(run, "doc_id long, mark binary, class binary, n long, token long, held long")
@@ -146,6 +148,8 @@ def first_tokens(documents: DataFrame, common: np.ndarray, words: int, percent:
             yield pa.RecordBatch.from_arrays([
                 pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(starts), pa.array(flat))], ["class", "n", "tokens"])
+            del classes, sizes, lists, starts, flat
+        give_back()
 
     return _texts(documents).mapInArrow(run, "class binary, n long, tokens array<long>")
 
@@ -236,6 +240,8 @@ def dealt_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame
             same = pa.array([digest(s) == c for s, c in zip(sets, batch.column(1).to_pylist())], pa.bool_())
             tokens = pa.array([s.tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], tokens], ["node", "places", "tokens"]).filter(same)
+            del sets, same, tokens
+        give_back()
 
     sets = rows.mapInArrow(
         run, "node long, places array<struct<gid:long,part:long,asks:boolean,guest:boolean>>, tokens binary")
@@ -303,7 +309,10 @@ def link_classes(documents: DataFrame, percent: int = PERCENT, words: int = WORD
     wanted = materialize(places.join(classes.select("node", "class"), "node").join(stand, "class"), "sets-wanted")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(open_group(rows, percent, every), columns=["u", "v"], dtype="int64")
+        found = pd.DataFrame(open_group(rows, percent, every), columns=["u", "v"], dtype="int64")
+        if len(rows) >= GROUP_MEMBERS:
+            give_back()
+        return found
 
     links = dealt_sets(documents, wanted, words).groupBy("gid", "part").applyInPandas(compare, "u long, v long")
     return placed, classes, materialize(links, "links")

@@ -1,5 +1,6 @@
 """K-Means segments of users, their scores and their profiles."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -20,6 +21,8 @@ DEFAULT_SEED = 42
 BLOCK_ROWS = 2_500
 # Cluster tables up to this many rows are broadcast.
 SMALL_CLUSTERS = 10_000
+# Runs of K-Means that share the cluster; each holds its own vectors in memory meanwhile.
+PARALLEL_RUNS = 4
 
 
 @dataclass(frozen=True)
@@ -52,16 +55,19 @@ def assign(model: KMeansModel, scaled: DataFrame) -> DataFrame:
 def fit_kmeans(
     scaled: DataFrame, k: int, seed: int = DEFAULT_SEED, n_init: int = 10, max_iter: int = 300
 ) -> Fit:
-    """Best of ``n_init`` K-Means runs; labels follow the order of the centres."""
-    data = _assembled(scaled).persist()
-    try:
-        runs = [
-            KMeans(k=k, seed=seed + run, maxIter=max_iter, featuresCol="features",
-                   predictionCol="label").fit(data)
-            for run in range(n_init)
-        ]
-    finally:
-        data.unpersist()
+    """Best of ``n_init`` K-Means runs; labels follow the order of the centres.
+
+    An iteration is a job of a few short tasks, so runs go side by side. Each keeps the vectors it
+    iterates over by itself; kept as a frame, every iteration would decode them again.
+    """
+    data = _assembled(scaled)
+
+    def run(number: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + number, maxIter=max_iter, featuresCol="features",
+                      predictionCol="label").fit(data)
+
+    with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
+        runs = list(pool.map(run, range(n_init)))
     best = min(runs, key=lambda model: model.summary.trainingCost)
     centers = [center for _, center in _ordered_centers(best)]
     return Fit(assign(best, scaled), centers, float(best.summary.trainingCost), best)
@@ -235,23 +241,30 @@ def davies_bouldin(labelled: DataFrame) -> float:
     return float(worst.mean())
 
 
-def select_k(
-    scaled: DataFrame, count: int, *, max_k: int = 10, seed: int = DEFAULT_SEED, n_init: int = 10,
-) -> list[dict]:
-    """(k, inertia, silhouette, selected) per candidate; the first best score wins. All rows
-    are scored, by squared distances."""
+def _candidates(
+    scaled: DataFrame, count: int, max_k: int, seed: int, n_init: int
+) -> list[tuple[dict, Fit]]:
+    """(k, inertia, silhouette, selected) of every candidate, with its fit."""
     if count < 3:
         raise ClusteringDataError("At least three rows are required to select K")
     largest = min(max_k, count - 1)
     if largest < 2:
         raise ClusteringDataError("No valid K candidates are available")
-    scores = []
+    found = []
     for k in range(2, largest + 1):
         fit = fit_kmeans(scaled, k, seed, n_init)
         score = squared_silhouette(fit.frame).first()["silhouette"]
-        scores.append({"k": k, "inertia": fit.inertia, "silhouette": score})
-    best = max(scores, key=lambda row: (row["silhouette"], -row["k"]))
-    return [{**row, "selected": row is best} for row in scores]
+        found.append(({"k": k, "inertia": fit.inertia, "silhouette": score}, fit))
+    best, _ = max(found, key=lambda pair: (pair[0]["silhouette"], -pair[0]["k"]))
+    return [({**row, "selected": row is best}, fit) for row, fit in found]
+
+
+def select_k(
+    scaled: DataFrame, count: int, *, max_k: int = 10, seed: int = DEFAULT_SEED, n_init: int = 10,
+) -> list[dict]:
+    """(k, inertia, silhouette, selected) per candidate; the first best score wins. All rows
+    are scored, by squared distances."""
+    return [row for row, _ in _candidates(scaled, count, max_k, seed, n_init)]
 
 
 def profile_clusters(labelled: DataFrame) -> DataFrame:
@@ -345,7 +358,11 @@ def train(
     if not 2 <= k < count:
         raise ValueError("k must be between 2 and number_of_users - 1")
     scaled = materialize(standardize(features), "scaled-features")
-    fit = fit_kmeans(scaled, k, seed, n_init)
+    return _scored(fit_kmeans(scaled, k, seed, n_init))
+
+
+def _scored(fit: Fit) -> tuple[Fit, dict]:
+    """The fit with its labelled rows written, and its three scores."""
     fit = replace(fit, frame=materialize(fit.frame, "clusters"))
     return fit, {
         "silhouette": squared_silhouette(fit.frame).first()["silhouette"],
@@ -361,12 +378,14 @@ def clustering_run(
     """The whole job: choose K unless given, fit, score; returns the fit and run metadata."""
     features = materialize(wh_features, "features")
     count = require_features(features)
-    selection = []
+    candidates = []
     if k is None or max_k >= 2:
         scaled = materialize(standardize(features), "scaled-features")
-        selection = select_k(scaled, count, max_k=max_k, seed=seed, n_init=n_init)
-    chosen = k if k is not None else next(row["k"] for row in selection if row["selected"])
-    fit, metrics = train(features, chosen, seed=seed, n_init=n_init)
+        candidates = _candidates(scaled, count, max_k, seed, n_init)
+    chosen = k if k is not None else next(row["k"] for row, _ in candidates if row["selected"])
+    known = next((fit for row, fit in candidates if row["k"] == chosen), None)
+    # A candidate has been fitted with the seeds and rows that training it again would use.
+    fit, metrics = train(features, chosen, seed=seed, n_init=n_init) if known is None else _scored(known)
     return fit, {
         "feature_columns": list(FEATURES),
         "min_orders": min_orders,
@@ -374,6 +393,6 @@ def clustering_run(
         "random_state": seed,
         "selected_k": chosen,
         "selected_k_source": "override" if k is not None else "silhouette",
-        "selection": selection,
+        "selection": [row for row, _ in candidates],
         "training_metrics": metrics,
     }

@@ -394,3 +394,17 @@ def test_baskets_are_whole_unless_pruned(spark):
     prepared = B.prepare_baskets(lines_of(spark, [[3, 1, 2], [1], [3, 4]]))
     assert sorted(r["items"] for r in prepared.frame.collect()) == [["1", "2", "3"], ["3", "4"]]
     assert (prepared.count, prepared.top_items) == (2, None)
+
+
+def test_a_run_fits_no_candidate_twice(users, monkeypatch):
+    fitted = []
+
+    def fit(scaled, k, *rest, fit_kmeans=C.fit_kmeans):
+        fitted.append(k)
+        return fit_kmeans(scaled, k, *rest)
+
+    monkeypatch.setattr(C, "fit_kmeans", fit)
+    _, run = C.clustering_run(users, max_k=3, n_init=2)
+    assert fitted == [2, 3]
+    chosen = next(row for row in run["selection"] if row["selected"])
+    assert run["training_metrics"]["inertia"] == pytest.approx(chosen["inertia"])

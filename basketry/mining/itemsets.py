@@ -77,43 +77,61 @@ def _candidates(level: DataFrame, length: int) -> DataFrame:
     return joined.join(broken.select("items").distinct(), "items", "left_anti")
 
 
+def _extensions(held: DataFrame) -> DataFrame:
+    """(parent, item, rest): every later item of the baskets that hold a set, and what follows it."""
+    return held.select("parent", "rest", F.posexplode("rest").alias("at", "item")).select(
+        "parent", "item", F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"))
+
+
+def _frequent_baskets(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame]:
+    """Written: (item, freq) of the frequent items; and (rest), each basket's frequent items, sorted."""
+    lines = baskets.frame.select("order_id", F.explode(F.array_distinct("items")).alias("item"))
+    counts = materialize(lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")), "items")
+    singles = counts.where(F.col("freq") >= floor)
+    if counts.where(F.col("freq") < floor).isEmpty():
+        return singles, baskets.frame.select(F.array_sort(F.array_distinct("items")).alias("rest"))
+    kept = lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi")
+    return singles, kept.groupBy("order_id").agg(F.array_sort(F.collect_list("item")).alias("rest")).select("rest")
+
+
 def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     """The same itemsets level by level: every frequent set is extended by later items.
 
-    A level is a frame, and so are the baskets that hold its sets: an extension is held where
-    its parent is held and its last item is in the basket. Nothing but row counts reaches the
-    driver.
+    A level is a frame, and so are the baskets that hold its sets: a row is a set's number and
+    the frequent items of the basket behind it, so an extension is held where its last item is
+    among them, and no level meets the orders again. Nothing but row counts reaches the driver.
     """
     _require_support(min_support)
     floor = smallest_count(min_support, baskets.count)
-    lines = baskets.frame.select("order_id", F.explode(F.array_distinct("items")).alias("item"))
-    singles = materialize(
-        lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor),
-        "level-1",
-    )
-    lines = materialize(
-        lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi"),
-        "frequent-lines",
-    )
-    level = singles.select(F.array("item").alias("items"), "freq")
-    held = lines.select("order_id", F.array("item").alias("parent"))
-    found, length = level, 1
-    while not level.isEmpty():
-        extended = materialize(_candidates(level, length), "candidates")
-        matched = materialize(
-            held.join(small_broadcast(extended, SMALL_LEVEL), "parent")
-            .join(lines, ["order_id", "item"]).select("order_id", "items"),
+    singles, frequent = _frequent_baskets(baskets, floor)
+    nothing = F.lit(0).cast("bigint").alias("parent")
+    held = frequent.select(nothing, "rest")
+    level = singles.select(nothing, "item", F.array("item").alias("items"), "freq")
+    found, length = None, 1
+    while True:
+        level = materialize(level.withColumn("id", F.monotonically_increasing_id()), "level")
+        found = level.select("items", "freq") if found is None else found.unionAll(level.select("items", "freq"))
+        if level.isEmpty():
+            return _finished(found, baskets, min_support)
+        known = small_broadcast(level.select("parent", "item", "id"), SMALL_LEVEL)
+        held = materialize(
+            _extensions(held).where(F.size("rest") > 0).join(known, ["parent", "item"])
+            .select(F.col("id").alias("parent"), "rest"),
             "held",
         )
-        level = materialize(
-            matched.groupBy("items").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor),
-            "level",
+        extended = materialize(
+            _candidates(level.select("items"), length).withColumnRenamed("parent", "head")
+            .join(level.select(F.col("items").alias("head"), F.col("id").alias("parent")), "head")
+            .select("parent", "item", "items"),
+            "candidates",
+        )
+        counts = (
+            _extensions(held).select("parent", "item")
+            .join(small_broadcast(extended.select("parent", "item"), SMALL_LEVEL), ["parent", "item"])
+            .groupBy("parent", "item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor)
         )
-        held = matched.join(
-            small_broadcast(level.select("items"), SMALL_LEVEL), "items", "left_semi"
-        ).select("order_id", F.col("items").alias("parent"))
-        found, length = found.unionAll(level), length + 1
-    return _finished(found, baskets, min_support)
+        level = counts.join(extended, ["parent", "item"]).select("parent", "item", "items", "freq")
+        length += 1
 
 
 def _frequent_lines(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame]:

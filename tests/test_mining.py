@@ -396,6 +396,26 @@ def test_baskets_are_whole_unless_pruned(spark):
     assert (prepared.count, prepared.top_items) == (2, None)
 
 
+def written_by(monkeypatch, module):
+    """(name, frame) of every table that a module writes."""
+    made = []
+
+    def write(df, name, *rest, materialize=module.materialize):
+        made.append((name, materialize(df, name, *rest)))
+        return made[-1][1]
+
+    monkeypatch.setattr(module, "materialize", write)
+    return made
+
+
+def test_apriori_levels_do_not_meet_the_orders_again(spark, monkeypatch):
+    prepared = B.prepare_baskets(lines_of(spark, BASKETS), min_items=2)
+    made = written_by(monkeypatch, I)
+    itemsets = I.apriori_itemsets(prepared, 0.2)
+    assert {tuple(r["items"]): r.freq for r in itemsets.collect()} == brute_itemsets(BASKETS, 0.2)
+    assert len(made) > 5 and not any("order_id" in df.columns for _, df in made)
+
+
 def test_a_run_fits_no_candidate_twice(users, monkeypatch):
     fitted = []
 

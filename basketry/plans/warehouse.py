@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.errors import PipelineError
 from basketry.schemas import BUCKET_COLUMN, PARTITION_COLUMN, TABLES
-from basketry.session import size_shuffles
+from basketry.session import size_packed
 from basketry.sources import storage
 
 CURRENT = "current.json"
@@ -99,7 +99,7 @@ def forget_facts(spark: SparkSession, folder: str) -> None:
 
 
 def read_run(spark: SparkSession, folder: str, range_width: int, buckets: int | None = None) -> Warehouse:
-    size_shuffles(spark, storage.size_bytes(spark, folder))
+    size_packed(spark, storage.size_bytes(spark, folder))
     tables = {
         name: open_fact(spark, folder, name, buckets) if buckets and name in PARTITION_COLUMN
         else spark.read.schema(schema).parquet(f"{folder}/{name}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.ranking import GROUP_LIMIT, rank_in_pieces, split_hot
-from basketry.session import materialize, size_shuffles, together
+from basketry.session import materialize, size_packed, together
 from basketry.sources import storage
 
 # Part types in alphabetical order are departments 1 to 6.
@@ -214,7 +214,7 @@ def read_sources(spark: SparkSession, folder: str, limit: int = GROUP_LIMIT):
     """The six sources, with the derived order and line tables written to shared storage."""
     folder = folder.rstrip("/")
     paths = {name: f"{folder}/{name}.parquet" for name in ("orders", "lineitem", "part")}
-    size_shuffles(spark, sum(storage.size_bytes(spark, path) for path in paths.values()))
+    size_packed(spark, sum(storage.size_bytes(spark, path) for path in paths.values()))
     orders, lineitem, part = (spark.read.parquet(path) for path in paths.values())
     numbered, sizes = together(
         lambda: materialize(number_orders(orders, limit), "numbered-orders"),

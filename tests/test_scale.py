@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from basketry.functions.ranking import rank_in_pieces, seeded_sample
 from basketry.operators import analysis, kpis
 from basketry.plans.pipeline import MAX_RANGES, range_width
-from basketry.session import materialize, size_shuffles, small_broadcast
+from basketry.session import materialize, size_packed, size_shuffles, small_broadcast
 from basketry.sources import order_tables as O
 
 
@@ -175,6 +175,20 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_pieces_of_packed_tables_stay_small(spark):
+    read, merge, width = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                          "spark.sql.shuffle.partitions")
+    before = {key: spark.conf.get(key) for key in (read, merge, width)}
+    try:
+        spark.conf.set(read, "128MB")
+        spark.conf.set(merge, "20KB")
+        assert size_packed(spark, 1024**3) == 64 and spark.conf.get(width) == "64"
+        assert spark.conf.get(read) == str(16 << 20) and spark.conf.get(merge) == "20KB"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_broadcast_needs_a_small_frame(spark):
     df = spark.range(10)
     assert "broadcast" in small_broadcast(df, 10)._jdf.queryExecution().logical().toString().lower()

@@ -143,13 +143,31 @@ def _frequent_lines(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame]
         lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi"), "frequent-lines")
 
 
-def _closures(grown: DataFrame, lines: DataFrame) -> DataFrame:
-    """(node, item, freq, items): of every extension (node, item, freq, order_id) the items that
-    all its baskets hold."""
-    other = lines.select("order_id", F.col("item").alias("other"))
-    inside = grown.join(other, "order_id").groupBy("node", "item", "freq", "other").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("freq"))
-    return inside.groupBy("node", "item", "freq").agg(F.array_sort(F.collect_list("other")).alias("items"))
+def _closures(counts: DataFrame, grown: DataFrame, lines: DataFrame, above: DataFrame) -> DataFrame:
+    """(node, item, freq, items, above): of every extension (node, item, freq, low, high) the items
+    that all its baskets hold; ``low`` and ``high`` are the first and last of these, ``grown`` are
+    all, and ``above`` holds the items of the nodes that were extended.
+
+    Only what both of two baskets hold can be in all. It is little beyond the set itself, so the
+    other baskets are asked about few items, and only where there are others.
+    """
+    both = counts.join(lines.select(F.col("order_id").alias("low"), F.col("item").alias("other")), "low").join(
+        lines.select(F.col("order_id").alias("high"), F.col("item").alias("other")), ["high", "other"]
+    ).select("node", "item", "freq", "other")
+    key = ["node", "item", "freq"]
+    # What is extended and by what is in all baskets, and two baskets have no others to ask.
+    sure = (F.col("other") == F.col("item")) | (F.col("freq") <= 2) | F.array_contains("above", F.col("other"))
+    both = materialize(both.join(above, "node").select(*key, "other", sure.alias("sure")), "shared-by-two")
+    asked = materialize(both.where(~F.col("sure")).select(*key, "other"), "asked")
+    inside = both.where("sure").select(*key, "other")
+    if not asked.isEmpty():
+        some = asked.select("node", "item").distinct()
+        baskets = grown.join(small_broadcast(some, SMALL_LEVEL), ["node", "item"], "left_semi")
+        held = baskets.join(lines.select("order_id", F.col("item").alias("other")), "order_id")
+        inside = inside.unionAll(
+            held.join(small_broadcast(asked, SMALL_LEVEL), ["node", "item", "other"])
+            .groupBy(*key, "other").agg(F.count(F.lit(1)).alias("n")).where("n = freq").select(*key, "other"))
+    return inside.groupBy(*key).agg(F.array_sort(F.collect_list("other")).alias("items")).join(above, "node")
 
 
 def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
@@ -172,21 +190,23 @@ def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     nodes = materialize(shared.select(
         F.lit(0).cast("bigint").alias("node"), F.lit(None).cast("string").alias("last"),
         F.lit(baskets.count).cast("bigint").alias("freq"), "items"), "closed")
-    held = lines.select(F.lit(0).cast("bigint").alias("node"), "order_id").distinct()
+    reached = lines.withColumn("node", F.lit(0).cast("bigint"))
     found = nodes.where(F.size("items") > 0).select("items", "freq")
     while True:
         known = small_broadcast(nodes.select("node", "last", "items"), SMALL_LEVEL)
-        extended = held.join(known, "node").join(lines, "order_id").where(
+        extended = reached.join(known, "node").where(
             (F.col("last").isNull() | (F.col("item") > F.col("last"))) & ~F.array_contains("items", F.col("item"))
         ).select("node", "item", "order_id")
-        counts = extended.groupBy("node", "item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor)
-        grown = materialize(extended.join(counts, ["node", "item"]), "extensions")
-        if grown.isEmpty():
+        counts = materialize(extended.groupBy("node", "item").agg(
+            F.count(F.lit(1)).alias("freq"), F.min("order_id").alias("low"), F.max("order_id").alias("high")
+        ).where(F.col("freq") >= floor), "extensions")
+        if counts.isEmpty():
             return _finished(found, baskets, min_support)
+        grown = extended.join(small_broadcast(counts.select("node", "item"), SMALL_LEVEL), ["node", "item"])
         above = known.select("node", F.col("items").alias("above"))
         added = F.array_except("items", "above")
         nodes = materialize(
-            _closures(grown, lines).join(above, "node")
+            _closures(counts, grown, lines, above)
             .where(~F.exists(added, lambda item: item < F.col("item")))
             .select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("parent"),
                     F.col("item").alias("last"), "freq", "items"), "closed")
@@ -194,6 +214,7 @@ def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
             F.col("node").alias("child"), F.col("parent").alias("node"), F.col("last").alias("item")), SMALL_LEVEL)
         held = materialize(
             grown.join(named, ["node", "item"]).select(F.col("child").alias("node"), "order_id"), "held")
+        reached = held.join(lines, "order_id")
         found = found.unionAll(nodes.select("items", "freq"))
 
 

@@ -416,6 +416,19 @@ def test_apriori_levels_do_not_meet_the_orders_again(spark, monkeypatch):
     assert len(made) > 5 and not any("order_id" in df.columns for _, df in made)
 
 
+def test_closures_ask_two_baskets_before_the_others(spark, monkeypatch):
+    """One item is in all of 60 baskets and a rarer one in its first and last, but not in all."""
+    baskets = [[1, 2, 10 + i] for i in range(60)]
+    baskets[0], baskets[30], baskets[59] = [1, 2, 3], [1, 3], [1, 2, 3]
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    made = written_by(monkeypatch, I)
+    closed = I.closed_itemsets(prepared, 2 / 60)
+    assert {tuple(r["items"]): r.freq for r in closed.collect()} == {
+        ("1",): 60, ("1", "2"): 59, ("1", "3"): 3, ("1", "2", "3"): 2}
+    # An extension is one row, whatever the number of its baskets.
+    assert all(df.count() < 60 for name, df in made if name in ("extensions", "shared-by-two", "asked"))
+
+
 def test_a_run_fits_no_candidate_twice(users, monkeypatch):
     fitted = []
 

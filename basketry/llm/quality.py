@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import free_name, utf8
+from basketry.llm.common import free_name, give_back, utf8
 
 TRAIN_ROWS = 8_000
 BUCKETS = 1 << 16
@@ -141,17 +141,28 @@ def training_rows(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_RO
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> np.ndarray:
     """The model, learned in one task from the vectors of the bounded sample."""
 
+    def lists(column):
+        """The rows of a list column as arrays that share its memory, without a Python object a value."""
+        ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
     def vectors(batches):
         for batch in batches:
             made = [features(t, n) for t, n in zip(utf8(batch.column(2)), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([i.tolist() for i, _ in made], pa.list_(pa.int32())),
-                pa.array([v.tolist() for _, v in made], pa.list_(pa.float32()))], ["doc_id", "label", "index", "value"])
+                batch.column(0), batch.column(1), pa.array([i.astype(np.int32) for i, _ in made], pa.list_(pa.int32())),
+                pa.array([v.astype(np.float32) for _, v in made], pa.list_(pa.float32()))], ["doc_id", "label", "index", "value"])
+            made = None
+        give_back()
 
     def learn(batches):
-        rows = [(label, np.asarray(i), np.asarray(v)) for batch in batches for label, i, v in zip(
-            batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array([fit(rows).tobytes()], pa.binary())], ["model"])
+        # As before, sums over a text's values are those of double precision.
+        rows = [(label, i, v.astype(np.float64)) for batch in batches for label, i, v in zip(
+            batch.column(1).to_pylist(), lists(batch.column(2)), lists(batch.column(3)))]
+        model = fit(rows).tobytes()
+        rows = None
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+        give_back()
 
     made = training_rows(documents, labels, limit).select("doc_id", "label", "text", "n_chars").mapInArrow(
         vectors, "doc_id long, label double, index array<int>, value array<float>")
@@ -179,6 +190,7 @@ def score(documents: DataFrame, model: np.ndarray, name: str = "score") -> DataF
                 z = bias + pair_score(weights[index], factors[index], value)
                 found.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], schema.names)
+        give_back()
 
     return documents.mapInArrow(run, schema)
 

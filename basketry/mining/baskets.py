@@ -111,11 +111,11 @@ def prune_baskets(
     )
 
 
-def whole_baskets(lines: DataFrame, min_items: int = 2, width: int | None = None) -> DataFrame:
-    """(order_id, items) with all distinct items, sorted, after one shuffle by order."""
-    width = width or lines.sparkSession.sparkContext.defaultParallelism
+def whole_baskets(lines: DataFrame, min_items: int = 2) -> DataFrame:
+    """(order_id, items) with all distinct items, sorted. Stored lines are grouped where their
+    bucket lies, others after one shuffle by order."""
     return (
-        lines.repartition(width, "order_id").groupBy("order_id")
+        lines.groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("n"), F.collect_set("item").alias("items"))
         .where(F.col("n") >= min_items)
         .select("order_id", F.array_sort("items").alias("items"))
@@ -130,7 +130,7 @@ def prepare_baskets(
     if min_items < 1:
         raise ValueError("min_items must be at least 1")
     if top_n is None:
-        frame = whole_baskets(lines, min_items, width)
+        frame = whole_baskets(lines, min_items)
     else:
         top = materialize(top_items(lines, top_n, min_items), "top-items")
         if top_n <= BROADCAST_ITEMS:

@@ -13,6 +13,8 @@ from basketry.session import materialize, small_broadcast
 
 # Levels and candidate lists up to this many rows are broadcast.
 SMALL_LEVEL = 100_000
+# The extensions of a set in more baskets than this are counted before they are shuffled.
+BUSY_NODE = 100_000
 
 
 def _require_support(min_support: float) -> None:
@@ -77,21 +79,29 @@ def _candidates(level: DataFrame, length: int) -> DataFrame:
     return joined.join(broken.select("items").distinct(), "items", "left_anti")
 
 
-def _extensions(held: DataFrame) -> DataFrame:
-    """(parent, item, rest): every later item of the baskets that hold a set, and what follows it."""
-    return held.select("parent", "rest", F.posexplode("rest").alias("at", "item")).select(
-        "parent", "item", F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"))
+def _extensions(held: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, item, rest): every later item of the baskets that hold a set, and what follows it."""
+    return held.select(*keys, "rest", F.posexplode("rest").alias("at", "item")).select(
+        *keys, "item", F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"))
 
 
-def _frequent_baskets(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame]:
-    """Written: (item, freq) of the frequent items; and (rest), each basket's frequent items, sorted."""
+def _baskets_of(rows: DataFrame, *key: str) -> DataFrame:
+    """(*key, freq, low, high): the number of baskets, the first and the last."""
+    return rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("freq"), F.min("order_id").alias("low"), F.max("order_id").alias("high"))
+
+
+def _frequent_baskets(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Written: (item, freq, low, high) of the frequent items, with the first and last basket. Then (order_id, rest), each basket's frequent items,
+    sorted, and whether that is more than a look at the written baskets, as some items are rare."""
     lines = baskets.frame.select("order_id", F.explode(F.array_distinct("items")).alias("item"))
-    counts = materialize(lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")), "items")
+    counts = materialize(_baskets_of(lines, "item"), "items")
     singles = counts.where(F.col("freq") >= floor)
     if counts.where(F.col("freq") < floor).isEmpty():
-        return singles, baskets.frame.select(F.array_sort(F.array_distinct("items")).alias("rest"))
+        whole = F.array_sort(F.array_distinct("items"))
+        return singles, baskets.frame.select("order_id", whole.alias("rest")), False
     kept = lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi")
-    return singles, kept.groupBy("order_id").agg(F.array_sort(F.collect_list("item")).alias("rest")).select("rest")
+    return singles, kept.groupBy("order_id").agg(F.array_sort(F.collect_list("item")).alias("rest")), True
 
 
 def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
@@ -103,7 +113,7 @@ def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     """
     _require_support(min_support)
     floor = smallest_count(min_support, baskets.count)
-    singles, frequent = _frequent_baskets(baskets, floor)
+    singles, frequent, _ = _frequent_baskets(baskets, floor)
     nothing = F.lit(0).cast("bigint").alias("parent")
     held = frequent.select(nothing, "rest")
     level = singles.select(nothing, "item", F.array("item").alias("items"), "freq")
@@ -115,7 +125,7 @@ def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
             return _finished(found, baskets, min_support)
         known = small_broadcast(level.select("parent", "item", "id"), SMALL_LEVEL)
         held = materialize(
-            _extensions(held).where(F.size("rest") > 0).join(known, ["parent", "item"])
+            _extensions(held, "parent").where(F.size("rest") > 0).join(known, ["parent", "item"])
             .select(F.col("id").alias("parent"), "rest"),
             "held",
         )
@@ -126,7 +136,7 @@ def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
             "candidates",
         )
         counts = (
-            _extensions(held).select("parent", "item")
+            _extensions(held, "parent").select("parent", "item")
             .join(small_broadcast(extended.select("parent", "item"), SMALL_LEVEL), ["parent", "item"])
             .groupBy("parent", "item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor)
         )
@@ -134,40 +144,85 @@ def apriori_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
         length += 1
 
 
-def _frequent_lines(baskets: Baskets, floor: int) -> tuple[DataFrame, DataFrame]:
-    """Written: (item, freq) of the frequent items, and the (order_id, item) lines that hold them."""
-    lines = baskets.frame.select("order_id", F.explode(F.array_distinct("items")).alias("item"))
-    singles = materialize(
-        lines.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= floor), "singles")
-    return singles, materialize(
-        lines.join(small_broadcast(singles.select("item"), SMALL_LEVEL), "item", "left_semi"), "frequent-lines")
+def _counted(held: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, item, freq, low, high): the extensions of held sets, the number of their baskets, and
+    the first and last of these.
+
+    A node's baskets meet in one place as they are, and are only taken apart there: few of a large
+    catalogue's extensions are ever held twice, so counts combined before the shuffle would be no
+    fewer. Those of a node with many baskets are, so they are counted that way.
+    """
+    def counts(rows):
+        return _baskets_of(_extensions(rows, "node", "order_id"), "node", "item")
 
+    busy = nodes.where(F.col("freq") > BUSY_NODE).select("node")
+    if busy.isEmpty():
+        return counts(held.repartition("node"))
+    keys = F.broadcast(busy)
+    met = held.join(keys, "node", "left_anti").repartition("node")
+    return counts(met).unionAll(counts(held.join(keys, "node", "left_semi")))
 
-def _closures(counts: DataFrame, grown: DataFrame, lines: DataFrame, above: DataFrame) -> DataFrame:
-    """(node, item, freq, items, above): of every extension (node, item, freq, low, high) the items
-    that all its baskets hold; ``low`` and ``high`` are the first and last of these, ``grown`` are
-    all, and ``above`` holds the items of the nodes that were extended.
+
+def _closures(counts: DataFrame, held: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``counts``, extensions (node, item, freq, low, high, above), with the ``items`` that all their
+    baskets hold; ``low`` and ``high`` are the first and last of these, and ``above`` holds the items
+    of the node that was extended. ``held`` are the nodes' baskets, ``frequent`` all baskets.
 
     Only what both of two baskets hold can be in all. It is little beyond the set itself, so the
     other baskets are asked about few items, and only where there are others.
     """
-    both = counts.join(lines.select(F.col("order_id").alias("low"), F.col("item").alias("other")), "low").join(
-        lines.select(F.col("order_id").alias("high"), F.col("item").alias("other")), ["high", "other"]
-    ).select("node", "item", "freq", "other")
-    key = ["node", "item", "freq"]
+    low, high = [frequent.select(F.col("order_id").alias(name), F.col("rest").alias(f"{name}_items"))
+                 for name in ("low", "high")]
+    shared = F.array_except(F.array_intersect("low_items", "high_items"), F.col("above"))
+    both = materialize(
+        counts.join(low, "low").join(high, "high").select(*counts.columns, shared.alias("shared")),
+        "shared-by-two")
+    key, two = ["node", "item"], F.col("freq") <= 2
+    asked = materialize(
+        both.where(~two).select(*key, "freq", F.explode("shared").alias("other"))
+        .where(F.col("other") != F.col("item")), "asked")
     # What is extended and by what is in all baskets, and two baskets have no others to ask.
-    sure = (F.col("other") == F.col("item")) | (F.col("freq") <= 2) | F.array_contains("above", F.col("other"))
-    both = materialize(both.join(above, "node").select(*key, "other", sure.alias("sure")), "shared-by-two")
-    asked = materialize(both.where(~F.col("sure")).select(*key, "other"), "asked")
-    inside = both.where("sure").select(*key, "other")
-    if not asked.isEmpty():
-        some = asked.select("node", "item").distinct()
-        baskets = grown.join(small_broadcast(some, SMALL_LEVEL), ["node", "item"], "left_semi")
-        held = baskets.join(lines.select("order_id", F.col("item").alias("other")), "order_id")
-        inside = inside.unionAll(
-            held.join(small_broadcast(asked, SMALL_LEVEL), ["node", "item", "other"])
-            .groupBy(*key, "other").agg(F.count(F.lit(1)).alias("n")).where("n = freq").select(*key, "other"))
-    return inside.groupBy(*key).agg(F.array_sort(F.collect_list("other")).alias("items")).join(above, "node")
+    sure = F.concat("above", F.when(two, F.col("shared")).otherwise(F.array("item")))
+    if asked.isEmpty():
+        return both.select(*counts.columns, F.array_sort(sure).alias("items"))
+    some = asked.select(*key).distinct()
+    grown = _extensions(held, "node", "order_id").join(small_broadcast(some, SMALL_LEVEL), key, "left_semi")
+    lines = grown.select(*key, "order_id").join(frequent, "order_id").select(*key, F.explode("rest").alias("other"))
+    more = (
+        lines.join(small_broadcast(asked, SMALL_LEVEL), [*key, "other"])
+        .groupBy(*key, "freq", "other").agg(F.count(F.lit(1)).alias("n")).where("n = freq")
+        .groupBy(*key).agg(F.collect_list("other").alias("more"))
+    )
+    nothing = F.array().cast("array<string>")
+    return both.join(more, key, "left").select(
+        *counts.columns, F.array_sort(F.concat(sure, F.coalesce("more", nothing))).alias("items"))
+
+
+def _held_by_items(held: DataFrame, counts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, order_id, rest) of the sets grown from one item, which is their number: all but the few
+    that another item stands for, without what the few that were filled up hold."""
+    gone = small_broadcast(counts.join(nodes, counts["item"] == nodes["last"], "left_anti").select(
+        F.col("item").alias("node")), SMALL_LEVEL)
+    filled = small_broadcast(nodes.where(F.size("items") > F.size("above") + 1).select("node", "items"), SMALL_LEVEL)
+    rows = _extensions(held, "order_id").where(F.size("rest") > 0).withColumnRenamed("item", "node")
+    return rows.join(gone, "node", "left_anti").join(filled, "node", "left").select(
+        "node", "order_id",
+        F.when(F.col("items").isNull(), F.col("rest")).otherwise(F.array_except("rest", "items")).alias("rest")
+    ).where(F.size("rest") > 0)
+
+
+def _held_by_nodes(held: DataFrame, nodes: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Written: (node, order_id, rest) of ``nodes``, extensions of the sets in ``held``. Two baskets
+    are known by their ids; only where there are more are the held rows asked again."""
+    ends = F.explode(F.array_distinct(F.array("low", "high"))).alias("order_id")
+    beyond = F.filter("rest", lambda item: item > F.col("last"))
+    few = nodes.where(F.col("freq") <= 2).select("node", "last", "items", ends).join(frequent, "order_id").select(
+        "node", "order_id", F.array_except(beyond, "items").alias("rest"))
+    named = nodes.where(F.col("freq") > 2).select(
+        F.col("node").alias("child"), F.col("parent").alias("node"), F.col("last").alias("item"), "items")
+    many = _extensions(held, "node", "order_id").join(small_broadcast(named, SMALL_LEVEL), ["node", "item"]).select(
+        F.col("child").alias("node"), "order_id", F.array_except("rest", "items").alias("rest"))
+    return materialize(few.unionAll(many).where(F.size("rest") > 0), "held")
 
 
 def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
@@ -179,43 +234,35 @@ def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
 
     A closed set is extended by an item beyond the one it was extended by last, and then filled
     up with all that its baskets share. It is kept if that adds nothing before the item: so each
-    closed set is reached along one path, once. A round is a few joins over the baskets that hold
-    the sets of the round before.
+    closed set is reached along one path, once. A round works on rows of a set's number, a basket
+    that holds the set, and what the basket has to extend it by.
     """
     _require_support(min_support)
     floor = smallest_count(min_support, baskets.count)
-    singles, lines = _frequent_lines(baskets, floor)
-    shared = singles.where(F.col("freq") == baskets.count).agg(
-        F.array_sort(F.collect_list("item")).alias("items"))
-    nodes = materialize(shared.select(
-        F.lit(0).cast("bigint").alias("node"), F.lit(None).cast("string").alias("last"),
-        F.lit(baskets.count).cast("bigint").alias("freq"), "items"), "closed")
-    reached = lines.withColumn("node", F.lit(0).cast("bigint"))
-    found = nodes.where(F.size("items") > 0).select("items", "freq")
-    while True:
-        known = small_broadcast(nodes.select("node", "last", "items"), SMALL_LEVEL)
-        extended = reached.join(known, "node").where(
-            (F.col("last").isNull() | (F.col("item") > F.col("last"))) & ~F.array_contains("items", F.col("item"))
-        ).select("node", "item", "order_id")
-        counts = materialize(extended.groupBy("node", "item").agg(
-            F.count(F.lit(1)).alias("freq"), F.min("order_id").alias("low"), F.max("order_id").alias("high")
-        ).where(F.col("freq") >= floor), "extensions")
-        if counts.isEmpty():
-            return _finished(found, baskets, min_support)
-        grown = extended.join(small_broadcast(counts.select("node", "item"), SMALL_LEVEL), ["node", "item"])
-        above = known.select("node", F.col("items").alias("above"))
+    singles, frequent, aggregated = _frequent_baskets(baskets, floor)
+    if aggregated:
+        frequent = materialize(frequent, "frequent-baskets")
+    everywhere = F.col("freq") == baskets.count
+    root = materialize(singles.where(everywhere).agg(F.array_sort(F.collect_list("item")).alias("items")).select(
+        F.lit("").alias("node"), F.lit(baskets.count).cast("bigint").alias("freq"), "items"), "closed")
+    above = F.broadcast(root.select("node", F.col("items").alias("above")))
+    held = frequent.crossJoin(above).select("node", "order_id", F.array_except("rest", "above").alias("rest"))
+    counts = materialize(singles.where(~everywhere).crossJoin(above), "extensions")
+    found, number, nodes = root.where(F.size("items") > 0).select("items", "freq"), F.col("item"), None
+    while not counts.isEmpty():
         added = F.array_except("items", "above")
-        nodes = materialize(
-            _closures(counts, grown, lines, above)
+        closed = materialize(
+            _closures(counts, held, frequent)
             .where(~F.exists(added, lambda item: item < F.col("item")))
-            .select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("parent"),
-                    F.col("item").alias("last"), "freq", "items"), "closed")
-        named = small_broadcast(nodes.select(
-            F.col("node").alias("child"), F.col("parent").alias("node"), F.col("last").alias("item")), SMALL_LEVEL)
-        held = materialize(
-            grown.join(named, ["node", "item"]).select(F.col("child").alias("node"), "order_id"), "held")
-        reached = held.join(lines, "order_id")
-        found = found.unionAll(nodes.select("items", "freq"))
+            .select(number.alias("node"), F.col("node").alias("parent"), F.col("item").alias("last"),
+                    "freq", "low", "high", "above", "items"), "closed")
+        found = found.unionAll(closed.select("items", "freq"))
+        held = _held_by_items(held, counts, closed) if nodes is None else _held_by_nodes(held, closed, frequent)
+        nodes, number = closed, F.monotonically_increasing_id().cast("string")
+        above = small_broadcast(nodes.select("node", F.col("items").alias("above")), SMALL_LEVEL)
+        counts = materialize(
+            _counted(held, nodes).where(F.col("freq") >= floor).join(above, "node"), "extensions")
+    return _finished(found, baskets, min_support)
 
 
 def itemsets_of_closed(closed: DataFrame, baskets: Baskets, max_length: int | None = None) -> DataFrame:

@@ -441,3 +441,28 @@ def test_a_run_fits_no_candidate_twice(users, monkeypatch):
     assert fitted == [2, 3]
     chosen = next(row for row in run["selection"] if row["selected"])
     assert run["training_metrics"]["inertia"] == pytest.approx(chosen["inertia"])
+
+
+def test_closed_itemsets_are_the_same_however_nodes_are_counted(spark, monkeypatch):
+    """Sets in many baskets are counted before they are shuffled, others where their baskets meet."""
+    monkeypatch.setattr(I, "SMALL_LEVEL", 0)
+    baskets = [[0, *basket[:4]] for basket in BASKETS] + [[0, 20, 21, 22]] * 3 + [[0, 22, 5, 30], [0, 30, 5]]
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    for busy in (0, 10**6):
+        monkeypatch.setattr(I, "BUSY_NODE", busy)
+        found = {tuple(r["items"]): r.freq for r in I.closed_itemsets(prepared, 2 / prepared.count).collect()}
+        assert found == brute_closed(brute_itemsets(baskets, 2 / len(baskets)))
+
+
+def test_baskets_of_single_items_are_not_written_again(spark, monkeypatch):
+    """Only sets of two items and more have rows of their own; those in two baskets have two."""
+    baskets = [[1, 10 + i, 40 + i % 20] for i in range(30)] * 2 + [[2, 70 + i] for i in range(20)] * 2
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    made = written_by(monkeypatch, I)
+    closed = I.closed_itemsets(prepared, 2 / 100)
+    expected = {(1,): 60, (2,): 40, **{(1, 10 + i, 40 + i % 20): 2 for i in range(30)},
+                **{(1, 40 + i): 4 for i in range(10)}, **{(2, 70 + i): 2 for i in range(20)}}
+    assert {frozenset(r["items"]): r.freq for r in closed.collect()} == {
+        frozenset(map(str, group)): freq for group, freq in expected.items()}
+    held = [df for name, df in made if name == "held"]
+    assert "frequent-lines" not in [name for name, _ in made] and sum(df.count() for df in held) < 100

@@ -185,28 +185,33 @@ def order_lines_source(
 ) -> DataFrame:
     """Lines of all orders; ``reordered`` marks products the user bought in an earlier order.
 
-    The first purchase of each (user, product) is found by a combining aggregate, and is
-    then matched on (order, product), which is unique on both sides: a product or user
-    that dominates the data meets no other row on its key.
+    A user's lines of one product meet in one shuffle, which finds their first purchase; there are
+    no more of them than the user has orders. For users with more than ``limit`` orders it is found
+    by a combining aggregate, and is then matched on (order, product), which is unique on both
+    sides: a product or user that dominates the data meets no other row on its key.
     """
-    bought = materialize(
-        cart_lines(lineitem, sizes, limit)
-        .join(numbered.select("order_id", "user_id", "order_number", "is_last"),
-              "order_id", "left")
-        .select(
-            "order_id", "product_id", "add_to_cart_order", "user_id", "order_number",
-            F.when(F.col("is_last"), F.lit("train")).otherwise(F.lit("prior")).alias("eval_set"),
-        ),
-        "bought",
-    )
-    firsts = (
-        bought.groupBy("user_id", "product_id")
-        .agg(F.min_by("order_id", "order_number").alias("order_id"))
-        .select("order_id", "product_id", F.lit(0).alias("reordered"))
-    )
-    return bought.join(firsts, ["order_id", "product_id"], "left").select(
+    bought = cart_lines(lineitem, sizes, limit).join(
+        numbered.select("order_id", "user_id", "order_number", "is_last"), "order_id", "left")
+    # Numbers have no gaps, so each user beyond the limit has one order with this one.
+    users = numbered.where(F.col("order_number") == limit + 1).select(
+        "user_id", F.col("order_number").alias("n"))
+    if not users.isEmpty():
+        bought = materialize(bought, "bought")
+    cold, hot = split_hot(bought, ["user_id"], users, limit)
+    # Lines without an order have no user to share; their own order keeps them apart.
+    mine = Window.partitionBy(F.coalesce("user_id", -F.col("order_id")), "product_id")
+    marked = cold.withColumn("first_order", F.min_by("order_id", "order_number").over(mine))
+    if hot is not None:
+        firsts = (
+            hot.groupBy("user_id", "product_id")
+            .agg(F.min_by("order_id", "order_number").alias("order_id"))
+            .select("order_id", "product_id", F.col("order_id").alias("first_order"))
+        )
+        marked = marked.unionByName(hot.join(firsts, ["order_id", "product_id"], "left"))
+    return marked.select(
         "order_id", "product_id", "add_to_cart_order",
-        F.coalesce("reordered", F.lit(1)).alias("reordered"), "eval_set",
+        F.when(F.col("first_order") == F.col("order_id"), 0).otherwise(1).alias("reordered"),
+        F.when(F.col("is_last"), F.lit("train")).otherwise(F.lit("prior")).alias("eval_set"),
     )
 
 

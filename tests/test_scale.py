@@ -199,3 +199,31 @@ def test_materialized_tables_have_no_lineage(spark):
     df = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "t")
     text = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Range" not in text and "parquet" in text
+
+
+def test_purchases_of_ordinary_users_meet_once(skewed, monkeypatch):
+    """First purchases are found where a user's lines of a product meet; they are not written
+    and matched back, which is left to users beyond the limit."""
+    orders, lines = skewed
+    numbered, sizes = materialize(O.number_orders(orders), "numbered"), materialize(O.count_lines(lines), "sizes")
+    made = []
+
+    def write(df, name, *rest):
+        made.append(name)
+        return materialize(df, name, *rest)
+
+    monkeypatch.setattr(O, "materialize", write)
+    result = O.order_lines_source(numbered, lines, sizes)
+    assert made == [] and plan(result).count("min_by") and plan(result).count("Join") == 1
+    O.order_lines_source(numbered, lines, sizes, 100)
+    assert "bought" in made
+
+
+def test_lines_without_an_order_are_no_first_purchase(spark):
+    orders = spark.createDataFrame([(1, 3, "1995-01-01")], "o_orderkey bigint, o_custkey bigint, o_orderdate string")
+    lines = spark.createDataFrame(
+        [(1, 4, 1), (8, 4, 1), (9, 4, 1)], "l_orderkey bigint, l_partkey bigint, l_linenumber int")
+    numbered, sizes = O.number_orders(orders), O.count_lines(lines)
+    result = O.order_lines_source(numbered, lines, sizes).collect()
+    assert sorted((r.order_id, r.reordered, r.eval_set) for r in result) == [
+        (2, 0, "train"), (9, 1, "prior"), (10, 1, "prior")]

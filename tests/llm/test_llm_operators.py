@@ -359,6 +359,23 @@ def test_license_scan(spark):
     assert license_scan.scan(documents.where("false"), F.col("path")).count() == 0
 
 
+def test_license_scan_without_paths_looks_for_no_directory(spark, monkeypatch):
+    texts = ["Released under the MIT License.", "code", None, "",
+             "text\n  Licensed under CC BY-NC 4.0.\nmore words than the header has in this text, so it is no such file"]
+    documents = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], f"{SCHEMA}, source string")
+    columns = ["doc_id", "license", "how", "cosine"]
+    placed = license_scan.scan(documents, F.concat_ws("/", "source", F.col("doc_id").cast("string")))
+    expected = sorted(map(tuple, placed.select(columns).collect()))
+
+    def ancestors(path):
+        raise AssertionError("a directory was looked for")
+
+    monkeypatch.setattr(license_scan, "ancestors", ancestors)
+    found = license_scan.scan(documents)
+    assert found.columns == columns and sorted(map(tuple, found.collect())) == expected
+    assert [how for _, _, how, _ in expected] == ["file", "none", "none", "none", "header"]
+
+
 def test_secret_scan(spark):
     random.seed(9)
     hexes = ["".join(random.choice("0123456789abcdef") for _ in range(40)) for _ in range(80)]

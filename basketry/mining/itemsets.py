@@ -15,6 +15,8 @@ from basketry.session import materialize, small_broadcast
 SMALL_LEVEL = 100_000
 # The extensions of a set in more baskets than this are counted before they are shuffled.
 BUSY_NODE = 100_000
+# Held baskets that meet in one task, where each has a row for every item that extends its set.
+HELD_PER_TASK = 250_000
 
 
 def _require_support(min_support: float) -> None:
@@ -150,16 +152,21 @@ def _counted(held: DataFrame, nodes: DataFrame) -> DataFrame:
 
     A node's baskets meet in one place as they are, and are only taken apart there: few of a large
     catalogue's extensions are ever held twice, so counts combined before the shuffle would be no
-    fewer. Those of a node with many baskets are, so they are counted that way.
+    fewer. Those of a node with many baskets are, so they are counted that way. Tasks follow the
+    number of baskets: bytes say little, as the rows of a held basket are made after the shuffle.
     """
     def counts(rows):
         return _baskets_of(_extensions(rows, "node", "order_id"), "node", "item")
 
     busy = nodes.where(F.col("freq") > BUSY_NODE).select("node")
+    few = nodes.where(F.col("freq") <= BUSY_NODE).agg(F.sum("freq")).first()[0] or 0
+    width = -(-few // HELD_PER_TASK)
+    wider = width > int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = [width, "node"] if wider else ["node"]
     if busy.isEmpty():
-        return counts(held.repartition("node"))
+        return counts(held.repartition(*dealt))
     keys = F.broadcast(busy)
-    met = held.join(keys, "node", "left_anti").repartition("node")
+    met = held.join(keys, "node", "left_anti").repartition(*dealt)
     return counts(met).unionAll(counts(held.join(keys, "node", "left_semi")))
 
 

@@ -454,6 +454,22 @@ def test_closed_itemsets_are_the_same_however_nodes_are_counted(spark, monkeypat
         assert found == brute_closed(brute_itemsets(baskets, 2 / len(baskets)))
 
 
+def test_tasks_that_count_extensions_follow_the_number_of_baskets(spark, monkeypatch):
+    """A held basket unfolds after the shuffle, so its bytes before say little of a task's memory."""
+    baskets = [[i % 7, 10 + i % 5, 20 + i % 3] for i in range(60)]
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    wanted = brute_closed(brute_itemsets(baskets, 2 / 60))
+    plans = []
+    monkeypatch.setattr(I, "materialize", lambda df, name, materialize=I.materialize: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()) if name == "extensions" else None,
+        materialize(df, name))[1])
+    monkeypatch.setattr(I, "HELD_PER_TASK", 5)
+    found = {tuple(r["items"]): r.freq for r in I.closed_itemsets(prepared, 2 / 60).collect()}
+    assert found == wanted
+    # 60 baskets hold three items each.
+    assert any("RepartitionByExpression" in plan and ", 36" in plan for plan in plans)
+
+
 def test_baskets_of_single_items_are_not_written_again(spark, monkeypatch):
     """Only sets of two items and more have rows of their own; those in two baskets have two."""
     baskets = [[1, 10 + i, 40 + i % 20] for i in range(30)] * 2 + [[2, 70 + i] for i in range(20)] * 2

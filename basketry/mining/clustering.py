@@ -354,7 +354,12 @@ def train(
     features: DataFrame, k: int, *, seed: int = DEFAULT_SEED, n_init: int = 10,
 ) -> tuple[Fit, dict]:
     """Fit the chosen K on the features; returns the fit and its three scores."""
-    count = require_features(features)
+    features = materialize(features, "features")
+    return _train_written(features, require_features(features), k, seed, n_init)
+
+
+def _train_written(features: DataFrame, count: int, k: int, seed: int, n_init: int) -> tuple[Fit, dict]:
+    """The same on written features, which are read three times: checked, measured and scaled."""
     if not 2 <= k < count:
         raise ValueError("k must be between 2 and number_of_users - 1")
     scaled = materialize(standardize(features), "scaled-features")
@@ -385,7 +390,7 @@ def clustering_run(
     chosen = k if k is not None else next(row["k"] for row, _ in candidates if row["selected"])
     known = next((fit for row, fit in candidates if row["k"] == chosen), None)
     # A candidate has been fitted with the seeds and rows that training it again would use.
-    fit, metrics = train(features, chosen, seed=seed, n_init=n_init) if known is None else _scored(known)
+    fit, metrics = _train_written(features, count, chosen, seed, n_init) if known is None else _scored(known)
     return fit, {
         "feature_columns": list(FEATURES),
         "min_orders": min_orders,

@@ -470,6 +470,19 @@ def test_tasks_that_count_extensions_follow_the_number_of_baskets(spark, monkeyp
     assert any("RepartitionByExpression" in plan and ", 36" in plan for plan in plans)
 
 
+def test_training_computes_its_features_once(spark, monkeypatch):
+    columns = ", ".join(f"{name} double" for name in FE.FEATURES)
+    users = spark.createDataFrame(
+        [(i, float(i % 2 * 50 + i), float(i), i / 20, float(i % 3)) for i in range(12)],
+        f"user_id bigint, {columns}").distinct()
+    plans = []
+    monkeypatch.setattr(C, "standardize", lambda features: (
+        plans.append(features._jdf.queryExecution().optimizedPlan().toString()), FE.standardize(features))[1])
+    fit, _ = C.train(users, 2, n_init=1)
+    assert fit.frame.count() == 12
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
+
+
 def test_baskets_of_single_items_are_not_written_again(spark, monkeypatch):
     """Only sets of two items and more have rows of their own; those in two baskets have two."""
     baskets = [[1, 10 + i, 40 + i % 20] for i in range(30)] * 2 + [[2, 70 + i] for i in range(20)] * 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.errors import BasketDataError
 from basketry.functions.ranking import seeded_sample
-from basketry.session import materialize
+from basketry.session import materialize, materialize_dealt
 
 DEFAULT_SEED = 42
 # Largest item list that is broadcast; longer lists are joined by a shuffle.
@@ -18,12 +18,13 @@ BROADCAST_ITEMS = 100_000
 class Baskets:
     """Mined baskets: ``frame`` holds (order_id, items), each cut to the ``top_items`` leading
     items if that is a number; ``count`` is the denominator of every support, emptied baskets
-    included."""
+    included. ``buckets`` is how many the frame lies in by order, if it does."""
 
     frame: DataFrame
     count: int
     top_items: int | None
     min_items: int
+    buckets: int | None = None
 
 
 def sample_orders(wh, limit: int | None, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -124,9 +125,11 @@ def whole_baskets(lines: DataFrame, min_items: int = 2) -> DataFrame:
 
 def prepare_baskets(
     lines: DataFrame, *, top_n: int | None = None, min_items: int = 2, width: int | None = None,
+    buckets: int | None = None,
 ) -> Baskets:
     """Baskets on shared storage, with their exact number: whole ones, or pruned to the
-    ``top_n`` leading items."""
+    ``top_n`` leading items. With ``buckets``, those of the stored lines, whole ones stay where
+    their lines lie, and mining joins them by order without moving them."""
     if min_items < 1:
         raise ValueError("min_items must be at least 1")
     if top_n is None:
@@ -136,8 +139,9 @@ def prepare_baskets(
         if top_n <= BROADCAST_ITEMS:
             top = F.broadcast(top)
         frame = prune_baskets(lines, top, min_items, width)
-    frame = materialize(frame, "baskets")
+    buckets = buckets if top_n is None else None
+    frame = materialize_dealt(frame, "baskets", "order_id", buckets) if buckets else materialize(frame, "baskets")
     count = frame.count()
     if not count:
         raise BasketDataError(f"No baskets satisfy min_items={min_items}")
-    return Baskets(frame, count, top_n, min_items)
+    return Baskets(frame, count, top_n, min_items, buckets)

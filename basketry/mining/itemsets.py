@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketry.errors import BasketDataError
 from basketry.functions.itemsets import itemset_json
 from basketry.mining.baskets import Baskets
-from basketry.session import materialize, small_broadcast
+from basketry.session import materialize, materialize_dealt, small_broadcast
 
 # Levels and candidate lists up to this many rows are broadcast.
 SMALL_LEVEL = 100_000
@@ -247,7 +247,9 @@ def closed_itemsets(baskets: Baskets, min_support: float = 0.01) -> DataFrame:
     _require_support(min_support)
     floor = smallest_count(min_support, baskets.count)
     singles, frequent, aggregated = _frequent_baskets(baskets, floor)
-    if aggregated:
+    if aggregated and baskets.buckets:
+        frequent = materialize_dealt(frequent, "frequent-baskets", "order_id", baskets.buckets)
+    elif aggregated:
         frequent = materialize(frequent, "frequent-baskets")
     everywhere = F.col("freq") == baskets.count
     root = materialize(singles.where(everywhere).agg(F.array_sort(F.collect_list("item")).alias("items")).select(

@@ -265,7 +265,9 @@ def _basket_json(df):
 
 
 def _baskets(wh, item, **options):
-    return B.prepare_baskets(_lines(wh, item), width=wh.task_width, **options)
+    # Lines of products lie where their orders do; those of aisles may have been moved.
+    buckets = wh.buckets if item == "product" else None
+    return B.prepare_baskets(_lines(wh, item), width=wh.task_width, buckets=buckets, **options)
 
 
 def _aisle_itemsets(wh, mine=I.frequent_itemsets):

@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.errors import DataQualityError
+from basketry import registry
 from basketry.mining import baskets as B
+from basketry.mining import itemsets
 from basketry.mining import recommend as R
 from basketry.operators import checks, transforms
 from basketry.plans.pipeline import MAX_BUCKETS, MIN_BUCKETS, bucket_count, build_warehouse, resolve_stored_times
 from basketry.plans.warehouse import CURRENT, catalog_name, current_run, forget_facts, open_warehouse
+from basketry.session import materialize
 from basketry.sources import storage
 
 from conftest import make_sources
@@ -111,3 +114,23 @@ def test_lines_without_an_order_are_reported(spark, tmp_path):
     wh, _ = build_warehouse(make_sources(spark), str(tmp_path / "w"))
     with pytest.raises(DataQualityError, match="orphaned=2"):
         resolve_stored_times(wh, wh.fact_orders.where("order_id <> 1"))
+
+
+def test_baskets_of_products_stay_where_their_lines_lie(spark, wh, shuffled):
+    """Mining meets the baskets by order more than once: only the other side moves."""
+    prepared = registry._baskets(wh, "product")
+    keys = materialize(wh.fact_orders.select("order_id"), "keys")
+    joined = keys.join(prepared.frame, "order_id")
+    assert len(exchanges(joined)) == 1 and joined.count() == prepared.count == 5
+    assert "Exchange" not in prepared.frame.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert all("_fact_" in table.name for table in spark.catalog.listTables())
+
+
+@pytest.mark.parametrize("support", [1 / 5, 2 / 5, 3 / 5])
+def test_closed_itemsets_of_baskets_in_buckets(wh, support):
+    """With and without rare items, the same sets as from baskets that lie anywhere."""
+    there, anywhere = [
+        {(tuple(r["items"]), r.freq, r.support) for r in itemsets.closed_itemsets(
+            B.prepare_baskets(B.basket_lines(wh), buckets=buckets), support).collect()}
+        for buckets in (wh.buckets, None)]
+    assert there == anywhere and there

@@ -160,13 +160,12 @@ def _counted(held: DataFrame, nodes: DataFrame) -> DataFrame:
 
     busy = nodes.where(F.col("freq") > BUSY_NODE).select("node")
     few = nodes.where(F.col("freq") <= BUSY_NODE).agg(F.sum("freq")).first()[0] or 0
-    width = -(-few // HELD_PER_TASK)
-    wider = width > int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = [width, "node"] if wider else ["node"]
+    # A number of its own, because Spark would merge tasks by bytes.
+    width = max(-(-few // HELD_PER_TASK), held.sparkSession.sparkContext.defaultParallelism)
     if busy.isEmpty():
-        return counts(held.repartition(*dealt))
+        return counts(held.repartition(width, "node"))
     keys = F.broadcast(busy)
-    met = held.join(keys, "node", "left_anti").repartition(*dealt)
+    met = held.join(keys, "node", "left_anti").repartition(width, "node")
     return counts(met).unionAll(counts(held.join(keys, "node", "left_semi")))
 
 

@@ -470,6 +470,26 @@ def test_tasks_that_count_extensions_follow_the_number_of_baskets(spark, monkeyp
     assert any("RepartitionByExpression" in plan and ", 36" in plan for plan in plans)
 
 
+def test_tasks_that_count_extensions_are_not_merged_by_bytes(spark, monkeypatch):
+    """A shuffle width above the tasks that are needed left their number to the bytes."""
+    baskets = [[i % 7, 10 + i % 5, 20 + i % 3] for i in range(60)]
+    prepared = B.prepare_baskets(lines_of(spark, baskets), min_items=2)
+    plans = []
+    monkeypatch.setattr(I, "materialize", lambda df, name, materialize=I.materialize: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()) if name == "extensions" else None,
+        materialize(df, name))[1])
+    monkeypatch.setattr(I, "HELD_PER_TASK", 5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        found = {tuple(r["items"]): r.freq for r in I.closed_itemsets(prepared, 2 / 60).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == brute_closed(brute_itemsets(baskets, 2 / 60))
+    # 60 baskets hold three items each.
+    assert any("RepartitionByExpression" in plan and ", 36" in plan for plan in plans)
+
+
 def test_training_computes_its_features_once(spark, monkeypatch):
     columns = ", ".join(f"{name} double" for name in FE.FEATURES)
     users = spark.createDataFrame(
